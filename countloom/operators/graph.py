@@ -35,7 +35,7 @@ def degree_pieces(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     degrees over ``HEAVY_VERTICES``.  Vertices above the cap, with ``parts > 1``, thus number fewer
     than ``HEAVY_VERTICES`` however large the graph, and that is what makes them safe to broadcast.
     """
-    degrees = vertex_degrees(simple)
+    degrees = vertex_degrees(simple).where("vertex IS NOT NULL")
     ends = degrees.agg((F.sum("degree") / HEAVY_VERTICES).cast("bigint") + 1).scalar()
     capped = degrees.withColumn("cap", F.greatest(F.lit(piece_rows).cast("bigint"), ends))
     return capped.selectExpr("vertex", "degree", "(degree + cap - 1) div cap AS parts")
@@ -50,6 +50,9 @@ def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     Both look-ups of a degree join on ``(vertex, piece)``: the edges of a heavy vertex are spread over
     its pieces by their other end, and its degree is repeated once per piece.
     """
+    # Implied by the look-ups for the edges only; said here, it holds for their degrees as well, and the
+    # exchange under both is computed once.
+    simple = simple.where("u IS NOT NULL AND v IS NOT NULL")
     pieces = degree_pieces(simple, piece_rows)
     spread = pieces.selectExpr(
         "vertex", "explode(sequence(0L, parts - 1)) AS piece", "named_struct('degree', degree, 'id', vertex, 'parts', parts) AS end"

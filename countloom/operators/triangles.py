@@ -26,11 +26,14 @@ def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | Non
     triangle to belong to this group.
     """
     keys = [group] if group else []
-    # ``parts`` depends on ``lo`` alone.  As a grouping column it stays in both uses of the lists, which
-    # keeps these alike, so that the exchange under them is computed once and read twice.
+    # The lists are used twice, and the exchange under them is computed once as long as both uses are
+    # alike to the optimizer.  Hence ``parts``, which depends on ``lo`` alone, is a grouping column, which
+    # is never pruned, and the tests that a join key implies for one use are spelled out for both.
+    # Edges are moved before they are gathered: gathered per task first, most lists would have one entry.
     lists = (
         oriented.selectExpr(*keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi")
-        .dropna(subset=[*keys, "lo", "lo_parts"])
+        .where(" AND ".join(f"{key} IS NOT NULL" for key in (*keys, "lo", "lo_parts")))
+        .repartition(*keys, "lo")
         .groupBy(*keys, "lo", "lo_parts")
         .agg(F.sort_array(F.collect_list("hi")).alias("above"))
         .selectExpr(*keys, "lo", "lo_parts", "above", "above.id AS ids")
@@ -48,7 +51,8 @@ def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | Non
         )
     )
     own = lists.selectExpr(*keys, "lo AS mid", "explode(sequence(0L, lo_parts - 1)) AS piece", "ids")
-    common = "array_intersect(candidates, ids)"
+    # The second argument is the one that gets hashed; on average it is the shorter.
+    common = "array_intersect(ids, candidates)"
     if owner:
         common = f"filter({common}, w -> {owner.spark('w')} = third)"
     return sent.join(own, [*keys, "mid", "piece"]).selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")

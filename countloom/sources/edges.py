@@ -15,21 +15,7 @@ ID_PATTERN = "^[+-]?[0-9]+$"
 _PAIRS = """
 CASE WHEN size(tokens) < 2 OR (size(tokens) = 2 AND tokens[0] = tokens[1]) THEN array()
      WHEN size(tokens) = 2 THEN array(named_struct('src', tokens[0], 'dst', tokens[1]))
-     ELSE filter(transform(sequence(1, size(tokens) - 1),
-                           i -> named_struct('src', tokens[i - 1], 'dst', tokens[i])),
-                 p -> p.src <> p.dst)
-END
-"""
-
-
-def _bad(pair: str) -> str:
-    return " OR ".join(
-        f"NOT {pair}.{end} RLIKE '{ID_PATTERN}' OR try_cast({pair}.{end} AS BIGINT) IS NULL" for end in ("src", "dst")
-    )
-
-
-_ANY_BAD = f"""
-CASE size(pairs) WHEN 0 THEN false WHEN 1 THEN {_bad('pairs[0]')} ELSE exists(pairs, p -> {_bad('p')}) END
+     ELSE filter(arrays_zip(src, dst), p -> p.src <> p.dst) END
 """
 
 _EDGE = "named_struct('u', try_cast({p}.src AS BIGINT), 'at', {at}, 'v', try_cast({p}.dst AS BIGINT))"
@@ -38,8 +24,24 @@ CASE size(pairs) WHEN 1 THEN array({_EDGE.format(p='pairs[0]', at=0)})
      ELSE transform(pairs, (p, i) -> {_EDGE.format(p='p', at='i')}) END
 """
 
+# A cast forgives blanks around a number, so a line with any other character has its tokens looked at.
+_STRAY = "value RLIKE '[^-+,0-9]'"
+
+
+def _malformed(pair: str) -> str:
+    return f"NOT {pair}.src RLIKE '{ID_PATTERN}' OR NOT {pair}.dst RLIKE '{ID_PATTERN}'"
+
+
+_ANY_BAD = f"""
+CASE size(pairs)
+  WHEN 0 THEN false
+  WHEN 1 THEN edges[0].u IS NULL OR edges[0].v IS NULL OR ({_STRAY} AND ({_malformed('pairs[0]')}))
+  ELSE exists(edges, e -> e.u IS NULL OR e.v IS NULL) OR ({_STRAY} AND exists(pairs, p -> {_malformed('p')}))
+END
+"""
+
 # Sorted by source and position, the edge to keep is the last of each run of equal sources.
-_SORTED = "CASE WHEN size(edges) > 1 THEN array_sort(edges) ELSE edges END"
+_SORTED = "CASE WHEN size(array_distinct(edges.u)) < size(edges) THEN sort_array(edges) ELSE edges END"
 _LAST = """
 CASE WHEN size(edges) > 1
      THEN filter(edges, (e, i) -> i = size(edges) - 1 OR edges[least(i + 1, size(edges) - 1)].u <> e.u)
@@ -47,15 +49,21 @@ CASE WHEN size(edges) > 1
 """
 
 
-def _text_pairs(lines: DataFrame) -> DataFrame:
-    """``(value, pairs)``: per line the adjacent tokens that differ; trailing empty tokens go first."""
+def _parsed(lines: DataFrame) -> DataFrame:
+    """``(value, pairs, edges)``: per line the adjacent tokens that differ, as text and as numbers.
+
+    Empty tokens at the end of a line do not count.
+    """
     tokens = lines.selectExpr("value", "split(rtrim(',', value), ',') AS tokens")
-    return tokens.selectExpr("value", f"{_PAIRS} AS pairs")
+    shifted = tokens.selectExpr(
+        "value", "tokens", "slice(tokens, 1, size(tokens) - 1) AS src", "slice(tokens, 2, size(tokens)) AS dst"
+    )
+    return shifted.selectExpr("value", f"{_PAIRS} AS pairs").selectExpr("value", "pairs", f"{_EDGES} AS edges")
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines that name an edge with a token that is no 64-bit integer."""
-    marked = _text_pairs(lines).selectExpr(f"CASE WHEN {_ANY_BAD} THEN array(value) END AS rejected")
+    marked = _parsed(lines).selectExpr(f"CASE WHEN {_ANY_BAD} THEN array(value) END AS rejected")
     return _exploded(marked, "rejected", "value")
 
 
@@ -69,8 +77,7 @@ def edges_from_lines(lines: DataFrame, strict: bool = True, mode: str = "last")
     if mode not in ("last", "all"):
         raise ValueError("mode must be 'last' or 'all'")
     on_bad = "raise_error(concat('not an edge line: ', value))" if strict else "NULL"
-    pairs = _text_pairs(lines).selectExpr(f"CASE WHEN {_ANY_BAD} THEN {on_bad} ELSE pairs END AS pairs")
-    edges = pairs.selectExpr(f"{_EDGES} AS edges")
+    edges = _parsed(lines).selectExpr(f"CASE WHEN {_ANY_BAD} THEN {on_bad} ELSE edges END AS edges")
     if mode == "last":
         edges = edges.selectExpr(f"{_SORTED} AS edges").selectExpr(f"{_LAST} AS edges")
     return _exploded(edges, "edges", "e").select("e.u", "e.v")
