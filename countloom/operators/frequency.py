@@ -89,8 +89,11 @@ def _last_batch(items: DataFrame, threshold: Column) -> DataFrame:
     The running total is built at two levels, blocks of batches and batches of a block, so that no
     task sorts all batches.
     """
-    totals = items.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "block", F.expr(f"batch_id div {BATCH_BLOCK}")
+    totals = (
+        items.groupBy("batch_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("block", F.expr(f"batch_id div {BATCH_BLOCK}"))
+        .where("block IS NOT NULL")
     )
 
     def preceding(column: str, window: Window) -> Column:

@@ -54,7 +54,7 @@ class CountSketch:
 
     def f2_rows(self, counters: DataFrame) -> DataFrame:
         """``(row, f2)``: per row the sum of squared counters, 0 for a row without any."""
-        zeros = counters.sparkSession.range(self.depth).selectExpr("CAST(id AS INT) AS row", "0L AS c")
+        zeros = counters.sparkSession.range(0, self.depth, 1, 1).selectExpr("CAST(id AS INT) AS row", "0L AS c")
         c = F.col("c").cast("double")
         return counters.select("row", "c").unionByName(zeros).groupBy("row").agg(F.sum(c * c).alias("f2"))
 
@@ -79,12 +79,12 @@ class CountSketch:
         return self._estimates_by_join(freq, counters)
 
     def _estimates_by_array(self, freq: DataFrame, counters: DataFrame) -> DataFrame:
-        filled = counters.selectExpr(f"row * {self.width}L + bucket AS cell", "c")
-        cells = counters.sparkSession.range(self.depth * self.width).withColumnRenamed("id", "cell")
+        zeros = counters.sparkSession.range(0, self.depth * self.width, 1, 1).selectExpr("id AS cell", "0L AS c")
+        cells = counters.selectExpr(f"row * {self.width}L + bucket AS cell", "c").unionByName(zeros)
         table = (
-            cells.join(filled, "cell", "left")
-            .selectExpr("struct(cell, coalesce(c, 0L) AS c) AS entry")
-            .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+            cells.groupBy("cell")
+            .agg(F.sum("c").alias("c"))
+            .agg(F.sort_array(F.collect_list(F.struct("cell", "c"))).alias("entries"))
             .select("entries.c")
             .scalar()
         )

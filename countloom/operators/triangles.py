@@ -64,7 +64,7 @@ def _sum(column: str) -> str:
 
 def _dense(counts: DataFrame, group: str, groups: int) -> DataFrame:
     """Sums per group, with a zero for each of the ``0 .. groups - 1`` that has none."""
-    zeros = counts.sparkSession.range(groups).selectExpr(f"id AS {group}", "0L AS triangles")
+    zeros = counts.sparkSession.range(0, groups, 1, 1).selectExpr(f"id AS {group}", "0L AS triangles")
     return counts.unionByName(zeros).groupBy(group).agg(F.expr(_sum("triangles")).alias("triangles"))
 
 

@@ -22,7 +22,7 @@ def run_colourings(colours: int, runs: int, seed: int) -> list[Colouring]:
 
 
 def _report(edges: DataFrame, dataset: str, colours: int, runs: int, **results: Column) -> DataFrame:
-    return edges.sparkSession.range(1).select(
+    return edges.sparkSession.range(0, 1, 1, 1).select(
         F.lit(dataset).alias("dataset"),
         edge_count(edges).scalar().alias("edges"),
         F.lit(colours).alias("colours"),

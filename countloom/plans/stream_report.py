@@ -31,7 +31,7 @@ def report(freq: DataFrame, length: DataFrame, sketch: CountSketch, left: int, r
         (F.sum(n) * F.sum(n)).alias("scale"),
     )
     sketched = sketch.f2_rows(sketch.counters(freq, "n")).agg(F.median("f2"))
-    figures = freq.sparkSession.range(1).select(
+    figures = freq.sparkSession.range(0, 1, 1, 1).select(
         length.scalar().alias("length"),
         moments.select(F.struct("*")).scalar().alias("m"),
         kth_frequency(freq, k).scalar().alias("f_k"),

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ID_PATTERN = "^[+-]?[0-9]+$"
 
+# The fields of a pair are named 0 and 1, as ``arrays_zip`` names them.
 _PAIRS = """
 CASE WHEN size(tokens) < 2 OR (size(tokens) = 2 AND tokens[0] = tokens[1]) THEN array()
-     WHEN size(tokens) = 2 THEN array(named_struct('src', tokens[0], 'dst', tokens[1]))
-     ELSE filter(arrays_zip(src, dst), p -> p.src <> p.dst) END
+     WHEN size(tokens) = 2 THEN array(named_struct('0', tokens[0], '1', tokens[1]))
+     ELSE filter(arrays_zip(slice(tokens, 1, size(tokens) - 1), slice(tokens, 2, size(tokens))), p -> p.`0` <> p.`1`) END
 """
 
-_EDGE = "named_struct('u', try_cast({p}.src AS BIGINT), 'at', {at}, 'v', try_cast({p}.dst AS BIGINT))"
+_EDGE = "named_struct('u', try_cast({p}.`0` AS BIGINT), 'at', {at}, 'v', try_cast({p}.`1` AS BIGINT))"
 _EDGES = f"""
 CASE size(pairs) WHEN 1 THEN array({_EDGE.format(p='pairs[0]', at=0)})
      ELSE transform(pairs, (p, i) -> {_EDGE.format(p='p', at='i')}) END
@@ -29,7 +30,7 @@ _STRAY = "value RLIKE '[^-+,0-9]'"
 
 
 def _malformed(pair: str) -> str:
-    return f"NOT {pair}.src RLIKE '{ID_PATTERN}' OR NOT {pair}.dst RLIKE '{ID_PATTERN}'"
+    return f"NOT {pair}.`0` RLIKE '{ID_PATTERN}' OR NOT {pair}.`1` RLIKE '{ID_PATTERN}'"
 
 
 _ANY_BAD = f"""
@@ -55,10 +56,7 @@ def _parsed(lines: DataFrame) -> DataFrame:
     Empty tokens at the end of a line do not count.
     """
     tokens = lines.selectExpr("value", "split(rtrim(',', value), ',') AS tokens")
-    shifted = tokens.selectExpr(
-        "value", "tokens", "slice(tokens, 1, size(tokens) - 1) AS src", "slice(tokens, 2, size(tokens)) AS dst"
-    )
-    return shifted.selectExpr("value", f"{_PAIRS} AS pairs").selectExpr("value", "pairs", f"{_EDGES} AS edges")
+    return tokens.selectExpr("value", f"{_PAIRS} AS pairs").selectExpr("value", "pairs", f"{_EDGES} AS edges")
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:

@@ -27,26 +27,31 @@ class BatchLedger:
         self.right = right
         self.threshold = threshold
         # The opening entry, so that an empty stream has a ledger too.
-        self._put("tallies", -1, spark.createDataFrame([], "item BIGINT, n BIGINT"))
-        self._put("lengths", -1, spark.createDataFrame([(0,)], "length BIGINT"))
+        self._put("tallies", -1, spark.range(0, 0, 1, 1).selectExpr("id AS item", "id AS n"))
+        self._put_length(-1, 0)
         lengths = spark.read.schema("length BIGINT").parquet(f"{path}/lengths")
         self.seen: int = lengths.agg(F.max("length").alias("length")).first().length
 
     def _put(self, kind: str, batch_id: int, entry: DataFrame) -> None:
         entry.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch={batch_id}")
 
+    def _put_length(self, batch_id: int, length: int) -> None:
+        self._put("lengths", batch_id, self.spark.range(0, 1, 1, 1).selectExpr(f"{length}L AS length"))
+        self._last = batch_id, length
+
     def _get(self, kind: str, batch_id: int, column: str) -> int:
         entry = self.spark.read.schema(f"{column} BIGINT").parquet(f"{self.path}/{kind}/batch={batch_id}")
         return entry.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total")).first().total
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """For ``foreachBatch``: one pass over the batch, then a look at the tally it left."""
-        length = self._get("lengths", batch_id - 1, "length")
+        last, length = self._last
+        if last != batch_id - 1:
+            length = self._get("lengths", batch_id - 1, "length")
         if length < self.threshold:
             self._put("tallies", batch_id, tally(batch, self.left, self.right))
             length += self._get("tallies", batch_id, "n")
-        after = self.spark.range(1).select(F.lit(length).cast("bigint").alias("length"))
-        self._put("lengths", batch_id, after)
+        self._put_length(batch_id, length)
         self.seen = max(self.seen, length)
 
     @property

@@ -129,7 +129,8 @@ def stream_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table read as a stream of files until none is left."""
     folder = shared_folder(spark, "stream-sketch")
     schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # As a pattern, the path may name one file or a folder of them.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     counters = SketchTable(spark, f"{folder}/counters")
     query = start_sketch(
         items_from_table(events, "floor(value)"), SKETCH, *VALUE_RANGE, counters, f"{folder}/checkpoint", availableNow=True
