@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Up to here the K-th frequency is read off a top-K; beyond, off the frequencies of frequencies.
-TOP_K_ROWS = 10_000
+TOP_K_ROWS = 1_000
 # Batches whose running totals are built side by side.
 BATCH_BLOCK = 4096
 # The stream length at which counting stops unless the caller says otherwise.

@@ -186,7 +186,7 @@ def _approximate_report() -> str:
 
 def _exact_report() -> str:
     return f"""SELECT 'part_supplier' AS dataset, (SELECT count(*)::BIGINT FROM ({PARSED})) AS edges,
-        {w.COLOURS} AS colours, 1 AS runs, ({_count(_triangles(_simple()))}) AS triangles"""
+        {w.COLOURS} AS colours, {w.RUNS} AS runs, ({_count(_triangles(_simple()))}) AS triangles"""
 
 
 def _balance(colouring) -> str:

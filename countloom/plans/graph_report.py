@@ -14,11 +14,15 @@ from countloom.operators.triangles import (
 )
 
 
-def run_colourings(colours: int, runs: int, seed: int) -> list[Colouring]:
-    """Fresh coefficients for each run."""
+def _check_runs(runs: int) -> None:
     if runs < 1:
         raise ValueError("runs must be at least 1")
-    return [Colouring.seeded(colours, seed + run) for run in range(runs)]
+
+
+def run_colourings(colours: int, runs: int, seed: int, family: str = "poly") -> list[Colouring]:
+    """Fresh coefficients for each run."""
+    _check_runs(runs)
+    return [Colouring.seeded(colours, seed + run, family) for run in range(runs)]
 
 
 def _report(edges: DataFrame, dataset: str, colours: int, runs: int, **results: Column) -> DataFrame:
@@ -39,13 +43,14 @@ def approximate_report(edges: DataFrame, dataset: str, colours: int, runs: int,
     return _report(edges, dataset, colours, runs, node_colour=median.scalar(), edge_partition=parts.scalar())
 
 
-def exact_report(edges: DataFrame, dataset: str, colours: int, seed: int = 0) -> DataFrame:
+def exact_report(edges: DataFrame, dataset: str, colours: int, runs: int, seed: int = 0) -> DataFrame:
     """``(dataset, edges, colours, runs, triangles)``: the exact count by colour triples.
 
-    Repeats could only give the same number, so there is one run.
+    All runs give the same number, so it is counted once.
     """
+    _check_runs(runs)
     exact = triangles_colour_triple(edges, Colouring.seeded(colours, seed))
-    return _report(edges, dataset, colours, 1, triangles=exact.scalar())
+    return _report(edges, dataset, colours, runs, triangles=exact.scalar())
 
 
 def triangle_report(
@@ -55,5 +60,5 @@ def triangle_report(
     if exact not in (0, 1):
         raise ValueError("exact must be 0 or 1")
     if exact:
-        return exact_report(edges, dataset, colours, seed)
+        return exact_report(edges, dataset, colours, runs, seed)
     return approximate_report(edges, dataset, colours, runs, seed)
