@@ -48,6 +48,8 @@ def main() -> None:
         .appName("countloom-bench")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", "16g")
+        # Small data, all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -38,7 +38,7 @@ def degree_pieces(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     degrees = vertex_degrees(simple).where("vertex IS NOT NULL")
     ends = degrees.agg((F.sum("degree") / HEAVY_VERTICES).cast("bigint") + 1).scalar()
     capped = degrees.withColumn("cap", F.greatest(F.lit(piece_rows).cast("bigint"), ends))
-    return capped.selectExpr("vertex", "degree", "(degree + cap - 1) div cap AS parts")
+    return capped.selectExpr("vertex", "degree", "ceil(degree / cap) AS parts")
 
 
 def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
