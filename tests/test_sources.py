@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +36,22 @@ def test_edge_line(lines, text, expected):
     assert pairs(edges_from_lines(lines(text))) == expected
 
 
+def test_random_lines_against_a_plain_parser(spark, lines):
+    rng = random.Random(12)
+    tokens = ["1", "2", "3", "03", "+1", "-4", "77"]
+    texts = [",".join(rng.choices(tokens, k=rng.randint(1, 9))) + rng.choice(["", "", ",", ",,"]) for _ in range(300)]
+    expected = []
+    for text in texts:
+        path, last = text.rstrip(",").split(","), {}
+        for a, b in zip(path, path[1:]):
+            if a != b:
+                last[int(a)] = int(b)
+        expected += last.items()
+    folder = shared_folder(spark, "lines")
+    lines(*texts).write.text(folder)
+    assert pairs(read_edges(spark, folder)) == sorted(expected)
+
+
 def test_mode_all_keeps_every_pair(lines):
     assert pairs(edges_from_lines(lines("1,2,1,3"), mode="all")) == [(1, 2), (1, 3), (2, 1)]
     with pytest.raises(ValueError):
