@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,14 +10,9 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``.
+    """A fresh folder under ``spark.checkpoint.dir``, or under the warehouse where that is unset.
 
-    A temporary folder of this machine stands in only for a local session that names none; on a
-    cluster the other nodes could not read it, so there the setting is required.
+    Both are folders that every node can reach; the rule is the same for every master.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every node can reach")
-        root = tempfile.mkdtemp(prefix="countloom-")
+    root = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
