@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from countloom.llm import chat_format, exact_dedup, quality, toxicity
+from countloom.llm import chat_format, decontaminate, exact_dedup, pieces, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_chat_format": chat_format.query,
+    "op4_simhash": simhash.query,
     "op5_quality": quality.query,
+    "op6_decontaminate": decontaminate.query,
+    "op7_sentencepiece": pieces.query,
     "op9_exact_dedup": exact_dedup.query,
 }
 
 SQL = {
     "op2_chat_format": chat_format.SQL,
+    "op6_decontaminate": decontaminate.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
