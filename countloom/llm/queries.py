@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from countloom.llm import chat_format, decontaminate, exact_dedup, pieces, quality, simhash, toxicity
+from countloom.llm import chat_format, decontaminate, exact_dedup, pieces, quality, simhash, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -11,11 +11,13 @@ QUERIES = {
     "op5_quality": quality.query,
     "op6_decontaminate": decontaminate.query,
     "op7_sentencepiece": pieces.query,
+    "op8_warc": warc.query,
     "op9_exact_dedup": exact_dedup.query,
 }
 
 SQL = {
     "op2_chat_format": chat_format.SQL,
     "op6_decontaminate": decontaminate.SQL,
+    "op8_warc": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
 }
