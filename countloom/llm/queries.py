@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from countloom.llm import chat_format, decontaminate, exact_dedup, pieces, quality, simhash, toxicity, warc
+from countloom.llm import chat_format, decontaminate, exact_dedup, pieces, quality, repeats, simhash, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_chat_format": chat_format.query,
+    "op3_suffix_dedup": repeats.query,
     "op4_simhash": simhash.query,
     "op5_quality": quality.query,
     "op6_decontaminate": decontaminate.query,
