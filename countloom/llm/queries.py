@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from countloom.llm import chat_format, decontaminate, exact_dedup, pieces, quality, repeats, simhash, toxicity, warc
+from countloom.llm import chat_format, decontaminate, exact_dedup, lm, pieces, quality, repeats, simhash, toxicity, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_sentencepiece": pieces.query,
     "op8_warc": warc.query,
     "op9_exact_dedup": exact_dedup.query,
+    "op10_lm_score": lm.query,
 }
 
 SQL = {
