@@ -15,9 +15,9 @@ their names, unless asked for by ``carry``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from countloom.llm.common import ascii_lower, materialise, text_of
+from countloom.llm.common import ascii_lower, materialise, table, text_of
 
 PREFIX_CHARS = 64
 
@@ -72,9 +72,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
-def query(spark, sf_dir: str) -> DataFrame:
-    from countloom.llm.common import table
-
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(normal(), 256)
     return exact_dedup(table(spark, sf_dir, "documents"), carry={"text_sha256": digest})
 
