@@ -9,11 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Up to here the K-th frequency is read off a top-K; beyond, off the frequencies of frequencies.
-TOP_K_ROWS = 1_000
 # Batches whose running totals are built side by side.
 BATCH_BLOCK = 4096
-# The stream length at which counting stops unless the caller says otherwise.
+# Fixed value: the stream length at which counting stops unless the caller says otherwise.
 DEFAULT_THRESHOLD = 10_000_000
 
 
@@ -42,7 +40,7 @@ def tally(items: DataFrame, left: int, right: int) -> DataFrame:
 
 
 def stream_length(counts: DataFrame) -> DataFrame:
-    """One row: all occurrences in ``counts``, a table with a column ``n``."""
+    """One row: all occurrences in ``counts``, a table with a column ``n``, such as ``batch_totals``."""
     return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("length"))
 
 
@@ -63,16 +61,13 @@ def f2_true(freq: DataFrame) -> DataFrame:
 
 
 def kth_frequency(freq: DataFrame, k: int) -> DataFrame:
-    """One row ``f_k``: the K-th largest frequency, or the least one when there are fewer items."""
+    """One row ``f_k``: the K-th largest frequency, or the least one when there are fewer items.
+
+    Read off the frequencies of frequencies: ``N`` occurrences have under ``sqrt(2 * N)`` different ones,
+    so the window stays small whatever K is.
+    """
     if k < 1:
         raise ValueError("k must be at least 1")
-    if k <= TOP_K_ROWS:
-        return freq.select("n").orderBy(F.desc("n")).limit(k).agg(F.min("n").alias("f_k"))
-    return _kth_by_levels(freq, k)
-
-
-def _kth_by_levels(freq: DataFrame, k: int) -> DataFrame:
-    """``N`` occurrences have under ``sqrt(2 * N)`` different frequencies, so the window stays small."""
     levels = freq.groupBy("n").agg(F.count(F.lit(1)).alias("items"))
     above = F.sum("items").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1))
     return levels.select("n", F.coalesce(above, F.lit(0)).alias("above")).where(f"above < {k}").agg(F.min("n").alias("f_k"))
@@ -83,39 +78,48 @@ def topk_ties(freq: DataFrame, k: int) -> DataFrame:
     return freq.where(F.col("n") >= kth_frequency(freq, k).scalar())
 
 
-def _last_batch(items: DataFrame, threshold: Column) -> DataFrame:
+# Items without a batch come before all others.
+_BATCH = "coalesce(batch_id, -9223372036854775808L)"
+
+
+def batch_totals(items: DataFrame) -> DataFrame:
+    """``(batch, n)``, items without a batch under the least number."""
+    return items.selectExpr(f"{_BATCH} AS batch").groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _last_batch(totals: DataFrame, threshold: Column) -> DataFrame:
     """One row: the last batch that begins before ``threshold`` items have been seen.
 
     The running total is built at two levels, blocks of batches and batches of a block, so that no
     task sorts all batches.
     """
-    totals = (
-        items.groupBy("batch_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("block", F.expr(f"batch_id div {BATCH_BLOCK}"))
-        .where("block IS NOT NULL")
-    )
+    blocked = totals.withColumn("block", F.expr(f"batch div {BATCH_BLOCK}"))
 
     def preceding(column: str, window: Window) -> Column:
         return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    blocks = totals.groupBy("block").agg(F.sum("n").alias("n"))
+    blocks = blocked.groupBy("block").agg(F.sum("n").alias("n"))
     begun = blocks.select("block", preceding("n", Window.orderBy("block")).alias("before")).where(
         F.col("before") < threshold
     )
-    within = totals.join(begun, "block").select(
-        "batch_id",
-        (F.col("before") + preceding("n", Window.partitionBy("block").orderBy("batch_id"))).alias("before"),
+    within = blocked.join(begun, "block").select(
+        "batch",
+        (F.col("before") + preceding("n", Window.partitionBy("block").orderBy("batch"))).alias("before"),
     )
-    return within.where(F.col("before") < threshold).agg(F.max("batch_id").alias("batch_id"))
+    return within.where(F.col("before") < threshold).agg(F.max("batch").alias("batch"))
 
 
-def stream_prefix(items: DataFrame, threshold: int | Column = DEFAULT_THRESHOLD) -> DataFrame:
+def stream_prefix(items: DataFrame, threshold: int | Column = DEFAULT_THRESHOLD, share: int | None = None) -> DataFrame:
     """The items of whole batches, in order of ``batch_id``, taken while the count before them is below
     ``threshold``; the total may exceed it by up to one batch.
 
-    Batches that qualify come before all others, so the cut is one comparison on ``batch_id``.
-    ``threshold`` may be a one-row subquery (``DataFrame.scalar``).
+    Items without a batch are the first batch.  Batches that qualify come before all others, so the cut is
+    one comparison on ``batch_id``.  ``threshold`` may be a one-row subquery (``DataFrame.scalar``); with
+    ``share`` it is that many thousandths of all items, taken from the same batch totals.
     """
-    limit = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    return items.where(F.col("batch_id") <= _last_batch(items, limit).scalar())
+    totals = batch_totals(items)
+    if share is not None:
+        limit = totals.agg(F.expr(f"coalesce(sum(n), 0L) * {share} div 1000")).scalar()
+    else:
+        limit = threshold if isinstance(threshold, Column) else F.lit(threshold)
+    return items.where(F.expr(_BATCH) <= _last_batch(totals, limit).scalar())

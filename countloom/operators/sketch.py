@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from countloom.functions.hashing import SketchRow
 
-# Sketches of up to this many counters travel as one array; larger ones are joined.
+# Sketches of up to this many counters travel as one array; larger ones are joined.  Both give the same rows.
 ARRAY_CELLS = 1 << 20
 
 
@@ -32,12 +32,12 @@ class CountSketch:
         return len(self.rows)
 
     def updates(self, items: DataFrame, weight: str = "1L") -> DataFrame:
-        """``(row, bucket, delta)``: what each input row adds to each row of the sketch."""
+        """``(row, bucket, delta)``: what each input row adds to each row of the sketch; a NULL item adds nothing."""
         structs = ", ".join(
             f"named_struct('row', {j}, 'bucket', {r.bucket('item')}, 'delta', {r.sign('item')} * {weight})"
             for j, r in enumerate(self.rows)
         )
-        return items.selectExpr(f"inline(array({structs}))")
+        return items.where("item IS NOT NULL").selectExpr(f"inline(array({structs}))")
 
     def counters(self, items: DataFrame, weight: str = "1L") -> DataFrame:
         """``(row, bucket, c)`` of ``items``, or of ``(item, n)`` with ``weight="n"``.
@@ -68,13 +68,14 @@ class CountSketch:
         low, high = (self.depth - 1) // 2, self.depth // 2
         return f"(CAST({sorted_values}[{low}] AS DOUBLE) + {sorted_values}[{high}]) / 2"
 
-    def estimates(self, freq: DataFrame, counters: DataFrame) -> DataFrame:
-        """``freq`` with ``estimate``: per item the median over rows of its signed counter.
+    def estimates(self, freq: DataFrame, counters: DataFrame, array_cells: int = ARRAY_CELLS) -> DataFrame:
+        """``freq`` with ``estimate``: per row the median over the sketch's rows of the item's signed counter.
 
-        The sketch is bounded by its own size, not by the data.  A small one is handed to the tasks as
-        one array and looked up by position, without a shuffle of the items; a large one is joined.
+        Every row of ``freq`` is kept, equal ones too; a NULL item has a NULL estimate.  The sketch is
+        bounded by its own size, not by the data.  Up to ``array_cells`` counters are handed to the tasks as
+        one array and looked up by position, without a shuffle of the items; more are joined.
         """
-        if self.depth * self.width <= ARRAY_CELLS:
+        if self.depth * self.width <= array_cells:
             return self._estimates_by_array(freq, counters)
         return self._estimates_by_join(freq, counters)
 
@@ -99,12 +100,11 @@ class CountSketch:
             f"named_struct('row', {j}, 'bucket', {r.bucket('item')}, 'sign', {r.sign('item')})"
             for j, r in enumerate(self.rows)
         )
-        probes = freq.selectExpr(*freq.columns, f"inline(array({structs}))")
-        found = probes.join(counters, ["row", "bucket"], "left").selectExpr(
-            *freq.columns, "sign * coalesce(c, 0L) AS signed"
-        )
-        gathered = found.groupBy(*freq.columns).agg(F.sort_array(F.collect_list("signed")).alias("signed"))
-        return gathered.selectExpr(*freq.columns, f"{self._median('signed')} AS estimate")
+        probes = freq.select("item").where("item IS NOT NULL").distinct().selectExpr("item", f"inline(array({structs}))")
+        found = probes.join(counters, ["row", "bucket"], "left").selectExpr("item", "sign * coalesce(c, 0L) AS signed")
+        gathered = found.groupBy("item").agg(F.sort_array(F.collect_list("signed")).alias("signed"))
+        estimates = gathered.selectExpr("item", f"{self._median('signed')} AS estimate")
+        return freq.join(estimates, "item", "left").select(*freq.columns, "estimate")
 
 
 def merge(*counters: DataFrame) -> DataFrame:

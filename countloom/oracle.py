@@ -97,8 +97,8 @@ VALUES_IN = _in_range(VALUES, w.VALUE_RANGE)
 VALUE_FREQ = _freq(VALUES_IN)
 
 
-def _kth(freq: str) -> str:
-    return f"SELECT min(n)::BIGINT AS f_k FROM (SELECT n FROM ({freq}) ORDER BY n DESC LIMIT {w.TOP_K})"
+def _kth(freq: str, k: int = w.TOP_K) -> str:
+    return f"SELECT min(n)::BIGINT AS f_k FROM (SELECT n FROM ({freq}) ORDER BY n DESC LIMIT {k})"
 
 
 def _ties(freq: str) -> str:
@@ -151,18 +151,19 @@ def _topk(freq: str, items: str) -> str:
 
 
 BATCHES = f"SELECT batch_id, count(*)::BIGINT AS n FROM ({VALUES}) GROUP BY batch_id"
-SHARE = f"(SELECT count(*) * {w.PREFIX_SHARE} // 1000 FROM events)"
 
 
 def _prefix(items: str) -> str:
     """``items`` has ``batch_id``; whole batches while fewer items than the share came before."""
-    before = f"""SELECT batch_id, sum(n) OVER (ORDER BY batch_id) - n AS before
-        FROM (SELECT batch_id, count(*) AS n FROM ({items}) GROUP BY batch_id)"""
-    return f"SELECT * FROM ({items}) WHERE batch_id IN (SELECT batch_id FROM ({before}) WHERE before < {SHARE})"
+    before = f"""SELECT batch, sum(n) OVER (ORDER BY batch NULLS FIRST) - n AS before
+        FROM (SELECT batch_id AS batch, count(*) AS n FROM ({items}) GROUP BY batch_id)"""
+    return f"""SELECT i.* FROM ({items}) i JOIN ({before}) b ON i.batch_id IS NOT DISTINCT FROM b.batch
+        WHERE b.before < (SELECT count(*) * {w.PREFIX_SHARE} // 1000 FROM ({items}))"""
 
 
 SLICED = _prefix(
-    f"""SELECT CAST(floor(value) AS BIGINT) AS item, event_id * {w.SLICES} // (SELECT count(*) FROM events) AS batch_id
+    f"""SELECT CAST(floor(value) AS BIGINT) AS item,
+            (row_number() OVER (ORDER BY event_id NULLS FIRST, value NULLS FIRST) - 1) * {w.SLICES} // (SELECT count(*) FROM events) AS batch_id
         FROM events"""
 )
 
@@ -259,6 +260,7 @@ def sql() -> dict[str, str]:
         "range_totals": f"SELECT sum(n)::BIGINT AS total, count(*)::BIGINT AS distinct FROM ({VALUE_FREQ})",
         "f2_true": _f2(VALUE_FREQ),
         "kth_frequency": _kth(VALUE_FREQ),
+        "kth_frequency_deep": _kth(_freq(USERS), w.DEEP_K),
         "topk_ties": _ties(_freq(_in_range(SUPPLIERS, w.SUPPLIER_RANGE))),
         "bucket_collisions": _collisions(VALUES_IN),
         "sketch_counters": _counters(VALUES_IN),
@@ -266,6 +268,7 @@ def sql() -> dict[str, str]:
         "f2_rows": _f2_rows(VALUES_IN),
         "f2_estimate": _f2_estimate(VALUES_IN),
         "point_estimates": _estimates(VALUE_FREQ, VALUES_IN),
+        "point_estimates_joined": _estimates(VALUE_FREQ, VALUES_IN),
         "topk_estimates": f"SELECT item, n, estimate, round(error, 9) AS error FROM ({_topk(VALUE_FREQ, VALUES_IN)})",
         "topk_avg_error": f"SELECT round(avg(error), 9) AS avg_error FROM ({_topk(VALUE_FREQ, VALUES_IN)})",
         "stream_report": _report(_prefix(VALUES)),

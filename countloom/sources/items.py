@@ -30,11 +30,15 @@ def items_from_table(table: DataFrame, item: str, *keep: str) -> DataFrame:
     return table.selectExpr(f"CAST({item} AS BIGINT) AS item", *keep)
 
 
-def read_item_stream(spark: SparkSession, format: str = "text", strict: bool = True, **options: str) -> DataFrame:
+def read_item_stream(
+    spark: SparkSession, format: str = "text", strict: bool = True, schema: str | None = None, value: str = "value", **options: str
+) -> DataFrame:
     """An unbounded ``(item BIGINT)``.
 
-    Any streaming source with a ``value`` column serves: ``text`` with ``path``, ``socket`` with
-    ``host`` and ``port``, ``kafka`` with its server and topic options.
+    Any streaming source serves: ``text`` with ``path``, ``socket`` with ``host`` and ``port``, ``kafka`` with
+    its server and topic options, ``parquet`` with a ``schema``.  ``value`` is the SQL expression whose text
+    is parsed.
     """
-    lines = spark.readStream.format(format).options(**options).load()
-    return items_from_lines(lines.selectExpr("CAST(value AS STRING) AS value"), strict)
+    reader = spark.readStream.format(format).options(**options)
+    lines = (reader.schema(schema) if schema else reader).load()
+    return items_from_lines(lines.selectExpr(f"CAST({value} AS STRING) AS value"), strict)

@@ -1,75 +1,74 @@
 """Exact counting of a stream up to a threshold, by a ledger of batches.
 
-Each batch leaves its own tally in a folder named by its number, and one row with the length of the
-stream up to it.  A batch that runs again overwrites both, so nothing counts twice; a batch that
-begins at or past the threshold adds nothing, so the ledger never holds more than it should, however
-late the query stops.
+Each batch leaves its own tally in a folder named by its number.  A batch that runs again overwrites it, so
+nothing counts twice; a batch that begins at or past the threshold leaves nothing, so the ledger never
+holds more than it should, however late the query stops.  The ledger lies inside its checkpoint: batch
+numbers belong to a checkpoint, so a new one has a new ledger.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from countloom.operators.frequency import DEFAULT_THRESHOLD, tally
 
 
 class BatchLedger:
-    """``tallies/batch=N`` holds ``(item, n)``, items outside the range as one row of item NULL;
-    ``lengths/batch=N`` holds the stream length after batch N."""
+    """``ledger/batch=N`` holds ``(item, n)``, items outside the range as one row of item NULL."""
 
-    def __init__(self, spark: SparkSession, path: str, left: int, right: int, threshold: int = DEFAULT_THRESHOLD):
+    def __init__(self, spark: SparkSession, checkpoint: str, left: int, right: int, threshold: int = DEFAULT_THRESHOLD):
         if threshold < 1:
             raise ValueError("threshold must be at least 1")
         self.spark = spark
-        self.path = path
+        self.checkpoint = checkpoint
+        self.path = f"{checkpoint}/ledger"
         self.left = left
         self.right = right
         self.threshold = threshold
         # The opening entry, so that an empty stream has a ledger too.
-        self._put("tallies", -1, spark.range(0, 0, 1, 1).selectExpr("id AS item", "id AS n"))
-        self._put_length(-1, 0)
-        lengths = spark.read.schema("length BIGINT").parquet(f"{path}/lengths")
-        self.seen: int = lengths.agg(F.max("length").alias("length")).first().length
+        spark.range(0, 0, 1, 1).selectExpr("id AS item", "id AS n").write.mode("overwrite").parquet(f"{self.path}/batch=-1")
+        # The last batch, and the length of the stream before and after it.
+        last = self.tallies().agg(F.max("batch")).first()[0]
+        self._last: int = -1 if last is None else last
+        self._before = self._length_before(self._last)
+        self.seen: int = self._length_before(self._last + 1)
 
-    def _put(self, kind: str, batch_id: int, entry: DataFrame) -> None:
-        entry.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch={batch_id}")
-
-    def _put_length(self, batch_id: int, length: int) -> None:
-        self._put("lengths", batch_id, self.spark.range(0, 1, 1, 1).selectExpr(f"{length}L AS length"))
-        self._last = batch_id, length
-
-    def _get(self, kind: str, batch_id: int, column: str) -> int:
-        entry = self.spark.read.schema(f"{column} BIGINT").parquet(f"{self.path}/{kind}/batch={batch_id}")
-        return entry.agg(F.coalesce(F.sum(column), F.lit(0)).alias("total")).first().total
+    def _length_before(self, batch_id: int) -> int:
+        return self.tallies().where(F.col("batch") < batch_id).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        """For ``foreachBatch``: one pass over the batch, then a look at the tally it left."""
-        last, length = self._last
-        if last != batch_id - 1:
-            length = self._get("lengths", batch_id - 1, "length")
-        if length < self.threshold:
-            self._put("tallies", batch_id, tally(batch, self.left, self.right))
-            length += self._get("tallies", batch_id, "n")
-        self._put_length(batch_id, length)
-        self.seen = max(self.seen, length)
+        """For ``foreachBatch``: one pass over the batch, which also tells its length."""
+        if batch_id > self._last:
+            before = self.seen
+        elif batch_id == self._last:
+            before = self._before
+        else:
+            before = self._length_before(batch_id)
+        if before >= self.threshold:
+            return
+        length = Observation()
+        counted = tally(batch, self.left, self.right).observe(length, F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        counted.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        if batch_id >= self._last:
+            self._last, self._before, self.seen = batch_id, before, before + length.get["n"]
 
     @property
     def reached(self) -> bool:
         return self.seen >= self.threshold
 
-    def start(self, stream: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
+    def start(self, stream: DataFrame, **trigger) -> StreamingQuery:
         """``trigger`` is passed on, by default ``processingTime="100 milliseconds"``."""
         return (
             stream.writeStream.foreachBatch(self.write)
-            .option("checkpointLocation", checkpoint)
+            .option("checkpointLocation", f"{self.checkpoint}/query")
             .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
             .start()
         )
 
-    def run(self, stream: DataFrame, checkpoint: str, poll_seconds: float = 0.2, **trigger) -> None:
+    def run(self, stream: DataFrame, poll_seconds: float = 0.2, **trigger) -> None:
         """Start, and stop once the threshold is reached or the input is used up."""
-        query = self.start(stream, checkpoint, **trigger)
+        query = self.start(stream, **trigger)
         try:
             while not self.reached and not query.awaitTermination(poll_seconds):
                 pass
@@ -80,7 +79,7 @@ class BatchLedger:
 
     def tallies(self) -> DataFrame:
         """``(batch, item, n)`` of all batches counted."""
-        return self.spark.read.schema("batch BIGINT, item BIGINT, n BIGINT").parquet(f"{self.path}/tallies")
+        return self.spark.read.schema("batch BIGINT, item BIGINT, n BIGINT").parquet(self.path)
 
     def freq(self) -> DataFrame:
         """``(item, n)`` of the items in range."""

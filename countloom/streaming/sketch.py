@@ -13,13 +13,17 @@ class SketchTable:
     """The latest counters of a streaming sketch, at ``path``.
 
     Batches write to two slots in turn, so one whole version exists at any moment, and a replayed
-    batch overwrites its own.
+    batch overwrites its own.  ``open`` leaves an empty version, which a stream without a batch keeps.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
+    def open(self) -> None:
+        empty = self.spark.range(0, 0, 1, 1).selectExpr("CAST(id AS INT) AS row", "id AS bucket", "id AS c", "id AS version")
+        empty.write.mode("overwrite").parquet(f"{self.path}/slot=-1")
+
     def write(self, counters: DataFrame, batch_id: int) -> None:
         slot = f"{self.path}/slot={batch_id % 2}"
         counters.withColumn("version", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(slot)
@@ -40,6 +44,7 @@ def start_sketch(
     before the shuffle, and the checkpoint makes each item count once.  ``trigger`` is passed on, by
     default ``processingTime="100 milliseconds"``.
     """
+    table.open()
     counters = merge(sketch.updates(in_range(stream, left, right)).withColumnRenamed("delta", "c"))
     return (
         counters.writeStream.outputMode("complete")

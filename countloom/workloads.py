@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from countloom.functions.hashing import Colouring, EdgePartitioning
 from countloom.operators import frequency as fq
@@ -17,7 +17,7 @@ from countloom.operators import sketch as sk
 from countloom.operators import triangles as tr
 from countloom.plans import graph_report, stream_report
 from countloom.sources.edges import edges_from_lines, edges_from_table, rejected_lines
-from countloom.sources.items import items_from_lines, items_from_table
+from countloom.sources.items import items_from_lines, items_from_table, read_item_stream
 from countloom.streaming.ledger import BatchLedger
 from countloom.streaming.sketch import SketchTable, start_sketch
 from countloom.workspace import shared_folder
@@ -29,11 +29,13 @@ SEED = 2024
 DEPTH = 5
 WIDTH = 64
 TOP_K = 10
+DEEP_K = 1500
 USER_RANGE = (10, 100)
 VALUE_RANGE = (0, 300)
 SUPPLIER_RANGE = (0, 99)
 BATCH_EVENTS = 100
 SLICES = 10
+FILES_PER_BATCH = 3
 # The share of the stream, in thousandths, at which the bounded prefix ends.
 PREFIX_SHARE = 455
 
@@ -106,13 +108,8 @@ def value_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SKETCH.counters(fq.in_range(value_items(spark, sf_dir), *VALUE_RANGE))
 
 
-def prefix_threshold(spark: SparkSession, sf_dir: str) -> Column:
-    events = table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("n"))
-    return events.selectExpr(f"n * {PREFIX_SHARE} div 1000").scalar()
-
-
 def value_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fq.stream_prefix(value_items(spark, sf_dir), prefix_threshold(spark, sf_dir))
+    return fq.stream_prefix(value_items(spark, sf_dir), share=PREFIX_SHARE)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -125,33 +122,53 @@ def sketch_of_merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sk.merge(*(SKETCH.counters(fq.in_range(items, *limits)) for items, limits in parts))
 
 
+ARRIVED = "slice INT, at BIGINT, value DOUBLE"
+VALUE_TEXT = "CAST(floor(value) AS BIGINT)"
+
+
+def staged_slices(spark: SparkSession, sf_dir: str, folder: str) -> int:
+    """The events in ``SLICES`` slices of equal size by order of ``event_id``, written as folders
+    ``slice=0 ..`` under ``folder``; returns the number of events.
+
+    Numbered by the order of the ids, not by their values: sorted by range into tasks, then by the place
+    in the task behind the number of rows of the tasks before.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    ordered = events.orderBy(F.asc_nulls_first("event_id"), F.asc_nulls_first("value"))
+    ordered.select("value", F.monotonically_increasing_id().alias("at")).write.parquet(f"{folder}/ordered")
+    placed = spark.read.schema("value DOUBLE, at BIGINT").parquet(f"{folder}/ordered").withColumn("task", F.expr("at >> 33"))
+    sizes = placed.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
+    # One row per task.
+    before = sizes.select("task", "n", F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    numbered = placed.join(before.drop("n"), "task").selectExpr("value", "before + (at & 8589934591L) AS at")
+    sliced = numbered.selectExpr("value", "at", f"CAST(at * {SLICES} div {max(n, 1)} AS INT) AS slice")
+    sliced.repartition("slice").write.partitionBy("slice").parquet(f"{folder}/slices")
+    return n
+
+
 def stream_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table read as a stream of files until none is left."""
+    """The events arrive as files, several micro-batches' worth, and are read as a stream until none is left."""
     folder = shared_folder(spark, "stream-sketch")
-    schema = table(spark, sf_dir, "events").schema
-    # As a pattern, the path may name one file or a folder of them.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
-    counters = SketchTable(spark, f"{folder}/counters")
-    query = start_sketch(
-        items_from_table(events, "floor(value)"), SKETCH, *VALUE_RANGE, counters, f"{folder}/checkpoint", availableNow=True
+    staged_slices(spark, sf_dir, folder)
+    items = read_item_stream(
+        spark, "parquet", schema=ARRIVED, value=VALUE_TEXT, path=f"{folder}/slices", maxFilesPerTrigger=str(FILES_PER_BATCH)
     )
-    query.awaitTermination()
+    counters = SketchTable(spark, f"{folder}/counters")
+    start_sketch(items, SKETCH, *VALUE_RANGE, counters, f"{folder}/checkpoint", availableNow=True).awaitTermination()
     return counters.read()
 
 
 def run_ledger(spark: SparkSession, sf_dir: str) -> BatchLedger:
     """The events arrive in slices, in order, each as one batch, until the ledger has enough."""
     folder = shared_folder(spark, "stream-until")
-    events = table(spark, sf_dir, "events")
-    n = events.count()
-    items = f"{folder}/items"
-    ledger = BatchLedger(spark, f"{folder}/ledger", *VALUE_RANGE, threshold=max(1, n * PREFIX_SHARE // 1000))
+    n = staged_slices(spark, sf_dir, folder)
+    ledger = BatchLedger(spark, f"{folder}/checkpoint", *VALUE_RANGE, threshold=max(1, n * PREFIX_SHARE // 1000))
+    slices = spark.read.schema(ARRIVED).parquet(f"{folder}/slices")
     for i in range(SLICES):
-        first, end = -(-i * n // SLICES), -(-(i + 1) * n // SLICES)
-        arriving = events.where((F.col("event_id") >= first) & (F.col("event_id") < end))
-        items_from_table(arriving, "floor(value)").write.mode("append").parquet(items)
-        stream = spark.readStream.schema("item BIGINT").parquet(items)
-        ledger.run(stream, f"{folder}/checkpoint", availableNow=True)
+        # Only the slice's own folder is read.
+        slices.where(F.col("slice") == i).selectExpr("0 AS slice", "at", "value").write.mode("append").parquet(f"{folder}/arrived")
+        ledger.run(read_item_stream(spark, "parquet", schema=ARRIVED, value=VALUE_TEXT, path=f"{folder}/arrived"), availableNow=True)
         if ledger.reached:
             break
     return ledger
@@ -200,7 +217,7 @@ QUERIES: dict[str, Query] = {
         edges_from_lines(edge_lines(s, d)), "part_supplier", COLOURS, RUNS, exact=1, seed=SEED
     ),
     # exact frequencies
-    "stream_length": lambda s, d: fq.stream_length(fq.batch_item_counts(value_items(s, d))),
+    "stream_length": lambda s, d: fq.stream_length(fq.batch_totals(value_items(s, d))),
     "batch_item_counts": lambda s, d: fq.batch_item_counts(value_items(s, d)),
     "stream_prefix": value_prefix,
     "item_freq": value_freq,
@@ -209,14 +226,16 @@ QUERIES: dict[str, Query] = {
     "range_totals": lambda s, d: fq.range_totals(value_freq(s, d)),
     "f2_true": lambda s, d: rounded(fq.f2_true(value_freq(s, d)), "f2"),
     "kth_frequency": lambda s, d: fq.kth_frequency(value_freq(s, d), TOP_K),
+    "kth_frequency_deep": lambda s, d: fq.kth_frequency(fq.item_freq(user_items(s, d)), DEEP_K),
     "topk_ties": lambda s, d: fq.topk_ties(fq.item_freq(fq.in_range(supplier_items(s, d), *SUPPLIER_RANGE)), TOP_K),
     # sketch
     "bucket_collisions": lambda s, d: SKETCH.collisions(fq.in_range(value_items(s, d), *VALUE_RANGE)),
     "sketch_counters": value_counters,
     "sketch_merge": sketch_of_merged_parts,
     "f2_rows": lambda s, d: SKETCH.f2_rows(value_counters(s, d)),
-    "f2_estimate": lambda s, d: rounded(SKETCH.f2_estimate(value_counters(s, d), value_freq(s, d)), "f2_estimate"),
+    "f2_estimate": lambda s, d: rounded(SKETCH.f2_estimate(SKETCH.counters(value_freq(s, d), "n"), value_freq(s, d)), "f2_estimate"),
     "point_estimates": lambda s, d: SKETCH.estimates(value_freq(s, d), SKETCH.counters(value_freq(s, d), "n")),
+    "point_estimates_joined": lambda s, d: SKETCH.estimates(value_freq(s, d), SKETCH.counters(value_freq(s, d), "n"), array_cells=0),
     "topk_estimates": lambda s, d: rounded(stream_report.topk_estimates(value_freq(s, d), SKETCH, TOP_K), "error"),
     "topk_avg_error": lambda s, d: rounded(
         sk.average_error(stream_report.topk_estimates(value_freq(s, d), SKETCH, TOP_K)), "avg_error"

@@ -37,21 +37,20 @@ def test_empty_range(items):
     assert fq.topk_ties(freq, 3).count() == 0
 
 
-@pytest.mark.parametrize("k", [1, 2, 3, 10, 17, 1000])
-def test_kth_frequency_both_ways(items, k):
+@pytest.mark.parametrize("k", [1, 2, 3, 10, 17, 1000, 5000])
+def test_kth_frequency(items, k):
     values = skewed(2)
     freq = fq.item_freq(items(*values))
     ranked = sorted(Counter(values).values(), reverse=True)
     expected = ranked[min(k, len(ranked)) - 1]
     assert scalar(fq.kth_frequency(freq, k)) == expected
-    assert scalar(fq._kth_by_levels(freq, k)) == expected
 
 
 def test_ties_and_large_k(items):
     freq = fq.item_freq(items(1, 1, 1, 2, 2, 3, 3, 4))
     assert pairs(fq.topk_ties(freq, 2)) == [(1, 3), (2, 2), (3, 2)]
     assert pairs(fq.topk_ties(freq, 10)) == [(1, 3), (2, 2), (3, 2), (4, 1)]
-    assert pairs(fq.topk_ties(freq, fq.TOP_K_ROWS + 1)) == [(1, 3), (2, 2), (3, 2), (4, 1)]
+    assert pairs(fq.topk_ties(freq, 1001)) == [(1, 3), (2, 2), (3, 2), (4, 1)]
     with pytest.raises(ValueError):
         fq.kth_frequency(freq, 0)
 
@@ -72,6 +71,15 @@ def test_prefix(spark, threshold, monkeypatch):
     assert pairs(fq.stream_prefix(df, F.lit(threshold))) == sorted(r for r in rows if r[0] in kept)
 
 
+def test_items_without_a_batch_come_first(spark):
+    rows = [(None, 1), (None, 2), (-5, 3), (4, 4), (9, 5)]
+    df = spark.createDataFrame(rows, "batch_id BIGINT, item BIGINT")
+    kept = lambda **how: sorted(r.item for r in fq.stream_prefix(df, **how).collect())
+    assert kept(threshold=0) == [] and kept(threshold=1) == [1, 2] and kept(threshold=3) == [1, 2, 3]
+    assert kept(share=600) == [1, 2, 3] and kept(share=1000) == [1, 2, 3, 4, 5]
+    assert scalar(fq.stream_length(fq.batch_totals(df))) == 5
+
+
 @pytest.mark.parametrize(
     ("sf", "step", "threshold", "length", "total", "distinct", "f2", "f_k"),
     [(SF_SMALL, 100, 450, 500, 499, 144, 0.011481882, 9), (SF, 1000, 4500, 5000, 4988, 246, 0.010209668, 80)],

@@ -86,6 +86,16 @@ def test_an_item_never_seen_has_an_estimate(items):
         assert estimated.where("estimate IS NULL").count() == 0 and estimated.count() == 40
 
 
+def test_null_items_and_equal_rows_both_ways(spark):
+    items = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "item BIGINT")
+    counters = SKETCH.counters(items)
+    assert counters.where("bucket IS NULL OR c IS NULL").count() == 0
+    freq = spark.createDataFrame([(1, 2), (1, 2), (None, 2), (2, 1)], "item BIGINT, n BIGINT")
+    got = [sorted(map(tuple, SKETCH.estimates(freq, counters, cells).collect()), key=repr) for cells in (1 << 20, 0)]
+    assert got[0] == got[1] and len(got[0]) == 4 and got[0].count(got[0][0]) == 2
+    assert [e for i, _, e in got[0] if i is None] == [None]
+
+
 def test_estimates_do_not_shuffle_the_items(spark):
     freq = w.value_freq(spark, SF)
     plan = SKETCH.estimates(freq, SKETCH.counters(w.value_items(spark, SF)))._jdf.queryExecution().executedPlan().toString()

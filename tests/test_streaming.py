@@ -1,8 +1,11 @@
+import random
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, pairs, scalar
-from countloom import workloads as w
+from countloom import oracle, workloads as w
 from countloom.operators import frequency as fq
 from countloom.operators.sketch import CountSketch
 from countloom.plans.stream_report import report, stream_report
@@ -50,12 +53,14 @@ def test_sketch_of_a_stream_in_several_batches(spark):
 def test_a_bad_line_stops_the_stream(spark):
     folder = shared_folder(spark, "test")
     arrive(spark, f"{folder}/in", [1, "x"])
-    ledger = BatchLedger(spark, f"{folder}/ledger", 0, 9, threshold=10)
+    ledger = BatchLedger(spark, f"{folder}/checkpoint", 0, 9, threshold=10)
     with pytest.raises(Exception, match="not an integer"):
-        ledger.run(read_item_stream(spark, path=f"{folder}/in"), f"{folder}/checkpoint", availableNow=True)
+        ledger.run(read_item_stream(spark, path=f"{folder}/in"), availableNow=True)
     lenient = read_item_stream(spark, path=f"{folder}/in", strict=False)
-    ledger.run(lenient, f"{folder}/checkpoint-2", availableNow=True)
-    assert pairs(ledger.freq()) == [(1, 1)]
+    # A new checkpoint has a ledger of its own.
+    other = BatchLedger(spark, f"{folder}/checkpoint-2", 0, 9, threshold=10)
+    other.run(lenient, availableNow=True)
+    assert pairs(other.freq()) == [(1, 1)] and pairs(ledger.freq()) == []
 
 
 def test_ledger_stops_at_the_threshold(spark):
@@ -63,10 +68,10 @@ def test_ledger_stops_at_the_threshold(spark):
     values = skewed(3, 500)
     for i in range(5):
         arrive(spark, f"{folder}/in", values[i * 100:(i + 1) * 100])
-    ledger = BatchLedger(spark, f"{folder}/ledger", 0, 30, threshold=250)
+    ledger = BatchLedger(spark, f"{folder}/checkpoint", 0, 30, threshold=250)
     # All five files are there, so batches past the threshold do run, and must leave nothing.
     stream = read_item_stream(spark, path=f"{folder}/in", maxFilesPerTrigger="1")
-    query = ledger.start(stream, f"{folder}/checkpoint", availableNow=True)
+    query = ledger.start(stream, availableNow=True)
     query.awaitTermination()
     assert ledger.reached and ledger.seen == 300
     kept = spark.createDataFrame([(v,) for v in values[:300]], "item BIGINT")
@@ -79,8 +84,8 @@ def test_ledger_stops_at_the_threshold(spark):
 def test_endless_query_is_stopped(spark):
     folder = shared_folder(spark, "test")
     arrive(spark, f"{folder}/in", range(20))
-    ledger = BatchLedger(spark, f"{folder}/ledger", 0, 9, threshold=20)
-    ledger.run(read_item_stream(spark, path=f"{folder}/in"), f"{folder}/checkpoint")
+    ledger = BatchLedger(spark, f"{folder}/checkpoint", 0, 9, threshold=20)
+    ledger.run(read_item_stream(spark, path=f"{folder}/in"))
     assert ledger.reached and not spark.streams.active
 
 
@@ -113,6 +118,21 @@ def test_an_empty_stream(spark):
         BatchLedger(spark, folder, 0, 9, threshold=0)
 
 
+def test_a_sketch_of_an_empty_stream(spark):
+    folder = shared_folder(spark, "test")
+    spark.range(0).selectExpr("CAST(id AS STRING) AS value").write.text(f"{folder}/in")
+    table = SketchTable(spark, f"{folder}/counters")
+    start_sketch(read_item_stream(spark, path=f"{folder}/in"), SKETCH, 0, 9, table, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    assert table.read().count() == 0
+
+
+def test_nothing_is_written_past_the_threshold(spark, items):
+    ledger = BatchLedger(spark, shared_folder(spark, "test"), 0, 9, threshold=2)
+    for i in range(4):
+        ledger.write(items(1, 2), i)
+    assert [r.batch for r in ledger.tallies().select("batch").distinct().collect()] == [0]
+
+
 def test_stream_equals_batch_on_the_events(spark):
     assert as_cells(w.stream_sketch(spark, SF_SMALL)) == as_cells(w.value_counters(spark, SF_SMALL))
     n = w.table(spark, SF_SMALL, "events").count()
@@ -120,3 +140,15 @@ def test_stream_equals_batch_on_the_events(spark):
     kept = w.table(spark, SF_SMALL, "events").where(F.col("event_id") * 10 < n * 5).selectExpr("CAST(floor(value) AS BIGINT) AS item")
     assert scalar(ledger.length()) == n // 2
     assert pairs(ledger.freq()) == pairs(fq.item_freq(fq.in_range(kept, 0, 300)))
+
+
+def test_the_ledger_needs_no_dense_ids(spark, monkeypatch, tmp_path):
+    """Ids shifted, with gaps, repeated or missing: as many events as the twin finds."""
+    rng = random.Random(1)
+    rows = [(None if i % 40 == 0 else 5_000 + 13 * (i // 2), float(rng.randint(-5, 320))) for i in range(400)]
+    events = spark.createDataFrame(rows, "event_id BIGINT, value DOUBLE").repartition(4)
+    monkeypatch.setattr(w, "table", lambda s, d, name: events)
+    db = duckdb.connect()
+    db.register("events", events.toPandas())
+    want = sorted(db.execute(oracle.sql()["stream_until"]).fetchall())
+    assert want and pairs(w.run_ledger(spark, "").freq()) == want
