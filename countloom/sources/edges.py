@@ -2,8 +2,11 @@
 
 A line of text is a comma-separated path of vertex ids: each pair of adjacent tokens that differ as
 text is an edge, and within one line a later edge replaces an earlier one with the same source.
-Nearly all lines hold a single edge, so each step treats that case apart, with plain expressions
-that stay in generated code; array lambdas run only on longer lines.
+
+Parsing is all plain expressions, so it stays in generated code.  Runs of equal tokens are first reduced
+to one, after which every two adjacent tokens are an edge and every token belongs to one.  Then sources
+and targets are the tokens without the last and without the first, as arrays of numbers, and a position
+in them is a row.
 """
 
 from __future__ import annotations
@@ -11,58 +14,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ID_PATTERN = "^[+-]?[0-9]+$"
+_LINE_PATTERN = "^[+-]?[0-9]+(,[+-]?[0-9]+)*$"
 
-# The fields of a pair are named 0 and 1, as ``arrays_zip`` names them.
-_PAIRS = """
-CASE WHEN size(tokens) < 2 OR (size(tokens) = 2 AND tokens[0] = tokens[1]) THEN array()
-     WHEN size(tokens) = 2 THEN array(named_struct('0', tokens[0], '1', tokens[1]))
-     ELSE filter(arrays_zip(slice(tokens, 1, size(tokens) - 1), slice(tokens, 2, size(tokens))), p -> p.`0` <> p.`1`) END
+# Only lines of three tokens and more are searched for runs.
+_TOKENS = r"""
+CASE WHEN size(raw) = 1 OR (size(raw) = 2 AND raw[0] <> raw[1]) THEN raw
+     ELSE split(regexp_replace(line, '(^|,)([^,]*)(?:,\\2)+(?=,|$)', '$1$2'), ',') END
 """
 
-_EDGE = "named_struct('u', try_cast({p}.`0` AS BIGINT), 'at', {at}, 'v', try_cast({p}.`1` AS BIGINT))"
-_EDGES = f"""
-CASE size(pairs) WHEN 1 THEN array({_EDGE.format(p='pairs[0]', at=0)})
-     ELSE transform(pairs, (p, i) -> {_EDGE.format(p='p', at='i')}) END
-"""
-
-# A cast forgives blanks around a number, so a line with any other character has its tokens looked at.
-_STRAY = "value RLIKE '[^-+,0-9]'"
-
-
-def _malformed(pair: str) -> str:
-    return f"NOT {pair}.`0` RLIKE '{ID_PATTERN}' OR NOT {pair}.`1` RLIKE '{ID_PATTERN}'"
-
-
-_ANY_BAD = f"""
-CASE size(pairs)
-  WHEN 0 THEN false
-  WHEN 1 THEN edges[0].u IS NULL OR edges[0].v IS NULL OR ({_STRAY} AND ({_malformed('pairs[0]')}))
-  ELSE exists(edges, e -> e.u IS NULL OR e.v IS NULL) OR ({_STRAY} AND exists(pairs, p -> {_malformed('p')}))
-END
-"""
-
-# Sorted by source and position, the edge to keep is the last of each run of equal sources.
-_SORTED = "CASE WHEN size(array_distinct(edges.u)) < size(edges) THEN sort_array(edges) ELSE edges END"
-_LAST = """
-CASE WHEN size(edges) > 1
-     THEN filter(edges, (e, i) -> i = size(edges) - 1 OR edges[least(i + 1, size(edges) - 1)].u <> e.u)
-     ELSE edges END
+# Numbers of up to 18 digits fit; only lines with longer ones need a second look.  Joining leaves NULL out.
+_BAD = f"""
+size(tokens) > 1 AND (NOT line RLIKE '{_LINE_PATTERN}'
+    OR (line RLIKE '[0-9]{{19}}'
+        AND size(split(array_join(CAST(try_cast(tokens AS ARRAY<BIGINT>) AS ARRAY<STRING>), ','), ',')) < size(tokens)))
 """
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
-    """``(value, pairs, edges)``: per line the adjacent tokens that differ, as text and as numbers.
-
-    Empty tokens at the end of a line do not count.
-    """
-    tokens = lines.selectExpr("value", "split(rtrim(',', value), ',') AS tokens")
-    return tokens.selectExpr("value", f"{_PAIRS} AS pairs").selectExpr("value", "pairs", f"{_EDGES} AS edges")
+    """``(value, tokens, bad)``: tokens without repetitions side by side; empty tokens at the end of a line do
+    not count."""
+    raw = lines.selectExpr("value", "rtrim(',', value) AS line").selectExpr("value", "line", "split(line, ',') AS raw")
+    tokens = raw.selectExpr("value", "line", f"{_TOKENS} AS tokens")
+    return tokens.selectExpr("value", "tokens", f"{_BAD} AS bad")
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """The lines that name an edge with a token that is no 64-bit integer."""
-    marked = _parsed(lines).selectExpr(f"CASE WHEN {_ANY_BAD} THEN array(value) END AS rejected")
-    return _exploded(marked, "rejected", "value")
+    return _parsed(lines).where("bad").select("value")
 
 
 def edges_from_lines(lines: DataFrame, strict: bool = True, mode: str = "last") -> DataFrame:
@@ -75,16 +53,15 @@ def edges_from_lines(lines: DataFrame, strict: bool = True, mode: str = "last")
     if mode not in ("last", "all"):
         raise ValueError("mode must be 'last' or 'all'")
     on_bad = "raise_error(concat('not an edge line: ', value))" if strict else "NULL"
-    edges = _parsed(lines).selectExpr(f"CASE WHEN {_ANY_BAD} THEN {on_bad} ELSE edges END AS edges")
+    numbers = _parsed(lines).selectExpr(f"CASE WHEN bad THEN {on_bad} WHEN size(tokens) > 1 THEN CAST(tokens AS ARRAY<BIGINT>) END AS ids")
+    ends = numbers.selectExpr("slice(ids, 1, size(ids) - 1) AS sources", "ids")
+    # The plain ``posexplode`` would imply a filter on the array, which the optimizer moves to the scan and
+    # expands to every step of parsing, over and over; the outer one does not.
+    rows = ends.select("ids", "sources", F.posexplode_outer("sources").alias("at", "u")).where("at IS NOT NULL")
     if mode == "last":
-        edges = edges.selectExpr(f"{_SORTED} AS edges").selectExpr(f"{_LAST} AS edges")
-    return _exploded(edges, "edges", "e").select("e.u", "e.v")
-
-
-def _exploded(rows: DataFrame, array: str, name: str) -> DataFrame:
-    """One row per element.  The plain ``explode`` would imply a filter on the array, which the optimizer
-    moves to the scan and expands to every step of parsing, over and over; the outer one does not."""
-    return rows.select(F.explode_outer(array).alias(name)).where(f"{name} IS NOT NULL")
+        # The last edge of a source is the first from behind.
+        rows = rows.where("size(sources) = 1 OR array_position(reverse(sources), u) = size(sources) - at")
+    return rows.selectExpr("u", "ids[at + 1] AS v")
 
 
 def read_edges(spark: SparkSession, path: str, strict: bool = True, mode: str = "last") -> DataFrame:
