@@ -39,6 +39,10 @@ class PolyHash:
     def duckdb(self, x: str) -> str:
         return self._horner(f"((({x}) % {self.prime} + {self.prime}) % {self.prime})")
 
+    def spark_row(self, terms: int) -> str:
+        """Prime and coefficients as an array, for ``indexed_hash``; missing high terms are zero."""
+        return f"array({', '.join(f'{n}L' for n in (self.prime, *(0,) * (terms - len(self.coefs)), *self.coefs))})"
+
     def value(self, x: int) -> int:
         acc = self.coefs[0]
         for coef in self.coefs[1:]:
@@ -46,6 +50,14 @@ class PolyHash:
         return acc
 
 
+def indexed_hash(x: str, row: str, terms: int) -> str:
+    """The hash of ``x`` by the coefficients in the array ``row``, as ``PolyHash.spark_row`` lays them out."""
+    text = f"{row}[1]"
+    for at in range(2, terms + 1):
+        text = f"(({text}) * pmod({x}, {row}[0]) + {row}[{at}]) % {row}[0]"
+    return f"({text})"
+
+
 @dataclass(frozen=True)
 class Colouring:
     """A hash of vertices onto ``0 .. colours - 1``."""

@@ -79,10 +79,16 @@ def mono_edges(edges: DataFrame, colouring: Colouring) -> DataFrame:
 
 
 def colour_balance(simple: DataFrame, colouring: Colouring) -> DataFrame:
-    """``(colour, vertices, edges)``: vertices of each colour, and edges within it."""
-    vertices = vertex_degrees(simple).selectExpr(f"{colouring.spark('vertex')} AS colour", "1 AS vertex", "0 AS edge")
-    within = mono_edges(simple, colouring).selectExpr("colour", "0 AS vertex", "1 AS edge")
-    return vertices.unionByName(within).groupBy("colour").agg(F.sum("vertex").alias("vertices"), F.sum("edge").alias("edges"))
+    """``(colour, vertices, edges)``: vertices of each colour, and edges within it; every colour has a row.
+
+    One pass over the edges: each is handed to both its ends, and counts as within at the lower one.
+    """
+    within = f"{colouring.spark('u')} = {colouring.spark('v')}"
+    ends = simple.selectExpr(f"inline(array(struct(u AS vertex, CAST({within} AS BIGINT) AS edge), struct(v AS vertex, 0L AS edge)))")
+    vertices = ends.groupBy("vertex").agg(F.sum("edge").alias("edge"))
+    coloured = vertices.selectExpr(f"{colouring.spark('vertex')} AS colour", "1L AS vertex", "edge")
+    zeros = simple.sparkSession.range(0, colouring.colours, 1, 1).selectExpr("id AS colour", "0L AS vertex", "0L AS edge")
+    return coloured.unionByName(zeros).groupBy("colour").agg(F.sum("vertex").alias("vertices"), F.sum("edge").alias("edges"))
 
 
 def triple_key(colouring: Colouring, u: str, v: str, third: str) -> str:

@@ -6,51 +6,63 @@ have in common.  So each vertex sends to each of its neighbours the part of its
 that follows it, and the two lists meet in one join and are intersected there.  A wedge is eight
 bytes of such a list and never a row, and one exchange carries them all.
 
-Skew: a list holds at most ``sqrt(2 * edges)`` ids (see ``orient``), and lists sent to a heavy vertex
-are spread over its pieces, its own short list being repeated for each.
+Skew: a list holds at most ``sqrt(2 * edges)`` ids (see ``orient``).  Lists sent to a heavy vertex are
+spread over its pieces, its own short list being repeated for each.  A list of ``n`` ids is sent as
+``n * n / 2`` ids, so it is dealt out in blocks of ``SENT_BLOCK`` positions to several tasks, each of which
+gets the whole list and sends only from its block.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from countloom.functions.hashing import Colouring, EdgePartitioning
+from countloom.functions.hashing import Colouring, EdgePartitioning, indexed_hash
 from countloom.operators.graph import PIECE_ROWS, mono_edges, orient, simplify, triple_key
 
+# So many positions of a list are sent by one task; it sends under this many times the longest list.
+SENT_BLOCK = 4096
 
-def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | None = None) -> DataFrame:
+
+def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | None = None, block: int | None = None) -> DataFrame:
     """``([group,] triangles)`` per edge: triangles whose three edges lie in one group.
 
     ``oriented`` has ``lo`` and ``hi`` as ``orient`` gives them, and the ``group`` column if named.
-    With ``owner``, ``hi`` also carries ``third``, the colour that the last vertex must have for the
-    triangle to belong to this group.
+    With ``owner``, the group is a packed colour triple, and the last vertex must have the colour that the
+    other two leave of it for the triangle to belong to this group.
     """
     keys = [group] if group else []
-    # The lists are used twice, and the exchange under them is computed once as long as both uses are
-    # alike to the optimizer.  Hence ``parts``, which depends on ``lo`` alone, is a grouping column, which
-    # is never pruned, and the tests that a join key implies for one use are spelled out for both.
-    # Edges are moved before they are gathered: gathered per task first, most lists would have one entry.
-    lists = (
+    step = block or SENT_BLOCK
+    gathered = (
         oriented.selectExpr(*keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi")
         .where(" AND ".join(f"{key} IS NOT NULL" for key in (*keys, "lo", "lo_parts")))
-        .repartition(*keys, "lo")
         .groupBy(*keys, "lo", "lo_parts")
         .agg(F.sort_array(F.collect_list("hi")).alias("above"))
-        .selectExpr(*keys, "lo", "lo_parts", "above", "above.id AS ids")
     )
+    # The lists are used twice, and gathering, sorting and the exchange over them are done once as long as
+    # both uses are alike to the optimizer: each reads every column, ids and pieces are one array, and
+    # rows are left out behind a generator, since a filter would move below the exchange.
+    lists = gathered.selectExpr(
+        *keys, "lo", "lo_parts", "concat(above.id, above.parts) AS packed", f"explode(sequence(0, (size(above) - 1) div {step})) AS block"
+    ).repartition(*keys, "lo", "block")
     sent = (
-        lists.where("size(above) > 1")
-        .selectExpr(*keys, "lo", "ids", "posexplode(above) AS (at, to)")
-        .where("at + 1 < size(ids)")
+        lists.selectExpr(*keys, "lo", "lo_parts", "block", "packed", "size(packed) div 2 AS n")
+        .selectExpr(
+            *keys, "lo", "lo_parts", "block", "packed", "n",
+            f"posexplode_outer(slice(packed, int(block * {step} + 1), least({step}, int(n - block * {step})))) AS (at, mid)",
+        )
+        .selectExpr(*keys, "lo", "lo_parts", "packed", "n", "mid", f"int(block * {step} + at) AS at")
+        .where("at + 1 < n")
         .selectExpr(
             *keys,
-            "to.id AS mid",
-            "pmod(xxhash64(lo), to.parts) AS piece",
-            "slice(ids, at + 2, size(ids)) AS candidates",
-            *(["to.third AS third"] if owner else []),
+            "mid",
+            "pmod(xxhash64(lo), coalesce(packed[int(n + at)], lo_parts)) AS piece",
+            "slice(packed, at + 2, int(n - at - 1)) AS candidates",
+            *([f"{_left_of_triple(group, owner, 'lo', 'mid')} AS third"] if owner else []),
         )
     )
-    own = lists.selectExpr(*keys, "lo AS mid", "explode(sequence(0L, lo_parts - 1)) AS piece", "ids")
+    own = lists.selectExpr(
+        *keys, "lo AS mid", "packed", "explode_outer(CASE WHEN block = 0 THEN sequence(0L, lo_parts - 1) END) AS piece"
+    ).where("piece IS NOT NULL").selectExpr(*keys, "mid", "piece", "slice(packed, 1, int(size(packed) div 2)) AS ids")
     # The second argument is the one that gets hashed; on average it is the shorter.
     common = "array_intersect(ids, candidates)"
     if owner:
@@ -58,6 +70,12 @@ def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | Non
     return sent.join(own, [*keys, "mid", "piece"]).selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")
 
 
+def _left_of_triple(key: str, colouring: Colouring, u: str, v: str) -> str:
+    """The colour of a packed triple besides those of two vertices."""
+    c = colouring.colours
+    return f"({key} div {c * c} + {key} div {c} % {c} + {key} % {c} - {colouring.spark(u)} - {colouring.spark(v)})"
+
+
 def _sum(column: str) -> str:
     return f"CAST(coalesce(sum({column}), 0) AS BIGINT)"
 
@@ -82,11 +100,7 @@ def _replicated(edges: DataFrame, colouring: Colouring, piece_rows: int) -> Data
         "lo", "hi", f"{colouring.spark('lo.id')} AS a", f"{colouring.spark('hi.id')} AS b"
     )
     copies = coloured.selectExpr("*", f"explode(sequence(0L, {colouring.colours - 1}L)) AS third")
-    return copies.selectExpr(
-        f"{triple_key(colouring, 'a', 'b', 'third')} AS k",
-        "lo",
-        "named_struct('degree', hi.degree, 'id', hi.id, 'parts', hi.parts, 'third', third) AS hi",
-    )
+    return copies.selectExpr(f"{triple_key(colouring, 'a', 'b', 'third')} AS k", "lo", "hi")
 
 
 def triangles_per_triple(edges: DataFrame, colouring: Colouring, piece_rows: int = PIECE_ROWS) -> DataFrame:
@@ -157,12 +171,16 @@ def triangle_runs(edges: DataFrame, colourings: list[Colouring], piece_rows: int
         raise ValueError("all runs must use the same number of colours")
     scale = colours.pop() ** 2
 
-    def alike(u: str, v: str) -> list[str]:
-        return [f"{c.spark(u)} = {c.spark(v)}" for c in colourings]
+    # The plan does not grow with the runs: their coefficients are one array, gone through by position.
+    degree = max(len(c.hash.coefs) for c in colourings)
+    table = f"array({', '.join(c.hash.spark_row(degree) for c in colourings)})"
+
+    def alike(u: str, v: str) -> str:
+        return f"({indexed_hash(u, 'c', degree)} % {colourings[0].colours}) = ({indexed_hash(v, 'c', degree)} % {colourings[0].colours})"
 
-    kept = simplify(edges).where(" OR ".join(alike("u", "v")))
-    runs = ", ".join(f"CASE WHEN {test} THEN {run}L END" for run, test in enumerate(alike("lo.id", "hi.id")))
-    per_run = orient(kept, piece_rows).selectExpr("lo", "hi", f"explode(array({runs})) AS run").where("run IS NOT NULL")
+    kept = simplify(edges).where(f"exists({table}, c -> {alike('u', 'v')})")
+    runs = orient(kept, piece_rows).selectExpr("lo", "hi", f"posexplode({table}) AS (at, c)").where(alike("lo.id", "hi.id"))
+    per_run = runs.selectExpr("lo", "hi", "CAST(at AS BIGINT) AS run")
     return _dense(closed(per_run, "run"), "run", len(colourings)).selectExpr("run", f"{scale}L * triangles AS estimate")
 
 

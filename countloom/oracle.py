@@ -195,7 +195,8 @@ def _balance(colouring) -> str:
     return f"""SELECT colour, sum(vertex)::BIGINT AS vertices, sum(edge)::BIGINT AS edges FROM (
             SELECT {colouring.duckdb('x')} AS colour, 1 AS vertex, 0 AS edge
             FROM (SELECT u AS x FROM ({_simple()}) UNION SELECT v FROM ({_simple()}))
-            UNION ALL SELECT {hu}, 0, 1 FROM ({_simple()}) WHERE {hu} = {hv})
+            UNION ALL SELECT {hu}, 0, 1 FROM ({_simple()}) WHERE {hu} = {hv}
+            UNION ALL SELECT unnest(range({colouring.colours})), 0, 0)
         GROUP BY colour"""
 
 
@@ -239,6 +240,7 @@ def sql() -> dict[str, str]:
         "mono_edges": f"SELECT {hu} AS colour, u, v FROM ({PARSED}) WHERE {hu} = {hv}",
         "colour_triple_load": _triple_load(),
         "triangles_exact": _count(_triangles(_simple())),
+        "triangles_exact_pieces": _count(_triangles(_simple())),
         "triangles_exact_sparse": _count(_triangles(_simple("SELECT o_orderkey AS u, o_custkey AS v FROM orders"))),
         "triangles_colour_triple": _count(_triangles(_simple())),
         "triangles_per_triple": _per_triple(),

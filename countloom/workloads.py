@@ -33,6 +33,8 @@ DEEP_K = 1500
 USER_RANGE = (10, 100)
 VALUE_RANGE = (0, 300)
 SUPPLIER_RANGE = (0, 99)
+# Pieces so small that the vertices of the given tables are split.
+SMALL_PIECES = 64
 BATCH_EVENTS = 100
 SLICES = 10
 FILES_PER_BATCH = 3
@@ -201,6 +203,7 @@ QUERIES: dict[str, Query] = {
     "mono_edges": lambda s, d: gr.mono_edges(edges_from_lines(edge_lines(s, d)), COLOURING),
     "colour_triple_load": lambda s, d: gr.colour_triple_load(simple_part_supplier(s, d), COLOURING),
     "triangles_exact": lambda s, d: tr.triangles_exact(part_supplier(s, d)),
+    "triangles_exact_pieces": lambda s, d: tr.triangles_exact(part_supplier(s, d), SMALL_PIECES),
     "triangles_exact_sparse": lambda s, d: tr.triangles_exact(order_customer(s, d)),
     "triangles_colour_triple": lambda s, d: tr.triangles_colour_triple(part_supplier(s, d), COLOURING),
     "triangles_per_triple": lambda s, d: tr.triangles_per_triple(part_supplier(s, d), COLOURING),

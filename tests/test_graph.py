@@ -67,6 +67,44 @@ def test_heavy_vertices_in_pieces(edges, seed, piece_rows):
     assert scalar(tr.triangles_colour_triple(df, colouring, piece_rows)) == len(triangles)
 
 
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_long_lists_are_sent_in_blocks(edges, monkeypatch, block):
+    """A clique makes long lists, a star a heavy vertex beside it."""
+    graph = complete(12) + [(1, x) for x in range(100, 140)] + [(100 + i, 101 + i) for i in range(0, 38, 2)]
+    monkeypatch.setattr(tr, "SENT_BLOCK", block)
+    triangles = brute_force(graph)
+    for piece_rows in (1, 4, 1 << 20):
+        assert scalar(tr.triangles_exact(edges(*graph), piece_rows)) == len(triangles)
+    assert scalar(tr.triangles_colour_triple(edges(*graph), Colouring.seeded(3, 4), 2)) == len(triangles)
+
+
+def test_lists_are_gathered_once(spark):
+    plan = tr.triangles_exact(w.part_supplier(spark, SF_SMALL))
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Once before and once after its exchange; the plan that ran names the second one twice.
+    assert "ReusedExchange" in final and final.count("partial_collect_list(hi") == 1
+
+
+def test_colours_without_a_vertex_have_a_row(edges):
+    colouring = Colouring.seeded(7, 1)
+    got = {r.colour: (r.vertices, r.edges) for r in gr.colour_balance(gr.simplify(edges((1, 2), (2, 3))), colouring).collect()}
+    expected = {c: [0, 0] for c in range(7)}
+    for x in (1, 2, 3):
+        expected[colouring.value(x)][0] += 1
+    for u, v in ((1, 2), (2, 3)):
+        expected[colouring.value(u)][1] += colouring.value(u) == colouring.value(v)
+    assert got == {c: tuple(n) for c, n in expected.items()}
+
+
+def test_runs_of_both_families_and_many(edges):
+    graph = random_graph(9)
+    triangles = brute_force(graph)
+    colourings = [*run_colourings(3, 20, 5), *run_colourings(3, 2, 50, "linear8191")]
+    expected = {run: 9 * sum(len({c.value(x) for x in t}) == 1 for t in triangles) for run, c in enumerate(colourings)}
+    assert dict(pairs(tr.triangle_runs(edges(*graph), colourings))) == expected
+
+
 def test_every_colour_count_gives_the_exact_number(edges):
     graph = random_graph(3)
     expected = len(brute_force(graph))
