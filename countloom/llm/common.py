@@ -45,13 +45,21 @@ def checksum(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
-def with_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from one batch to one batch; empty batches are passed over."""
+# Rows of an Arrow batch handled at once, so that their Python objects stay few.
+SLICE_ROWS = 1000
+
+
+def with_batches(
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int | None = SLICE_ROWS
+) -> DataFrame:
+    """``mapInArrow`` with a function from one batch of at most ``rows`` rows to one batch; empty ones are
+    passed over."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                out = work(batch)
+            step = rows or max(1, batch.num_rows)
+            for begin in range(0, batch.num_rows, step):
+                out = work(batch.slice(begin, step))
                 if out is not None and out.num_rows:
                     yield out
 

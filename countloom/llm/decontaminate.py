@@ -169,7 +169,7 @@ def _count_tokens(docs: DataFrame, block: Windows) -> dict[tuple[int, int], int]
         rows = [(q, k, n) for q, keys in block.tokens.items() for k, n in zip(keys.tolist(), sums[q].tolist()) if n]
         return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.int64()))], names=["q", "key", "n"])
 
-    counts = with_batches(docs.select("text"), work, "q int, key bigint, n bigint").groupBy("q", "key").agg(F.sum("n").alias("n"))
+    counts = with_batches(docs.select("text"), work, "q int, key bigint, n bigint", rows=None).groupBy("q", "key").agg(F.sum("n").alias("n"))
     return {(r.q, r.key): r.n for r in counts.collect()}
 
 

@@ -235,7 +235,8 @@ def _deal(docs: DataFrame, blocks: int) -> DataFrame:
             out.append((int(b), sink.getvalue().to_pybytes()))
         return _record(DEALT, out).combine_chunks().to_batches()[0]
 
-    return with_batches(rows, work, DEALT)
+    # Whole batches: the fewer bundles, the better they compress.
+    return with_batches(rows, work, DEALT, rows=None)
 
 
 def _opened(bundles: pa.Table) -> pa.Table:
