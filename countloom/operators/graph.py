@@ -22,6 +22,22 @@ def simplify(edges: DataFrame) -> DataFrame:
     return edges.where("u <> v").selectExpr("least(u, v) AS u", "greatest(u, v) AS v").distinct()
 
 
+def counted(edges: DataFrame) -> DataFrame:
+    """``(u, v, n)``: each edge once, as ``u <= v``, loops included, with the number of its copies."""
+    return edges.selectExpr("least(u, v) AS u", "greatest(u, v) AS v").groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def simple_of(counted_edges: DataFrame) -> DataFrame:
+    """The simple graph of ``counted`` edges, for several uses of one exchange.
+
+    Written in terms of the count, so that no use's filter on vertices moves below the aggregation and sets
+    it apart from the other uses.
+    """
+    return counted_edges.where("CASE WHEN n > 0 THEN u <> v END").selectExpr(
+        "CASE WHEN n > 0 THEN u END AS u", "CASE WHEN n > 0 THEN v END AS v"
+    )
+
+
 def vertex_degrees(simple: DataFrame) -> DataFrame:
     """``(vertex, degree)`` of a simple graph."""
     ends = simple.selectExpr("explode(array(u, v)) AS vertex")

@@ -27,17 +27,21 @@ def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | Non
     """``([group,] triangles)`` per edge: triangles whose three edges lie in one group.
 
     ``oriented`` has ``lo`` and ``hi`` as ``orient`` gives them, and the ``group`` column if named.
-    With ``owner``, the group is a packed colour triple, and the last vertex must have the colour that the
-    other two leave of it for the triangle to belong to this group.
+    With ``owner``, the groups are colour triples, packed into ``group``: each edge goes to every triple with
+    its two colours, and the last vertex must have the colour that the other two leave of the triple for
+    the triangle to belong to it.
     """
     keys = [group] if group else []
+    own_keys = [] if owner else keys
     step = block or SENT_BLOCK
     gathered = (
-        oriented.selectExpr(*keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi")
-        .where(" AND ".join(f"{key} IS NOT NULL" for key in (*keys, "lo", "lo_parts")))
-        .groupBy(*keys, "lo", "lo_parts")
+        oriented.selectExpr(*own_keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi")
+        .where(" AND ".join(f"{key} IS NOT NULL" for key in (*own_keys, "lo", "lo_parts")))
+        .groupBy(*own_keys, "lo", "lo_parts")
         .agg(F.sort_array(F.collect_list("hi")).alias("above"))
     )
+    if owner:
+        gathered = _per_triple_lists(gathered, group, owner)
     # The lists are used twice, and gathering, sorting and the exchange over them are done once as long as
     # both uses are alike to the optimizer: each reads every column, ids and pieces are one array, and
     # rows are left out behind a generator, since a filter would move below the exchange.
@@ -70,6 +74,22 @@ def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | Non
     return sent.join(own, [*keys, "mid", "piece"]).selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")
 
 
+def _per_triple_lists(gathered: DataFrame, group: str, colouring: Colouring) -> DataFrame:
+    """Each list in parts, one per triple that its edges belong to: for colours ``x <= y`` beside that of ``lo``,
+    the neighbours of either colour.  So edges are gathered once and only lists are replicated."""
+    last = colouring.colours - 1
+    coloured = gathered.selectExpr(
+        "lo",
+        "lo_parts",
+        f"{colouring.spark('lo')} AS a",
+        f"transform(above, h -> struct(h.id AS id, h.parts AS parts, {colouring.spark('h.id')} AS colour)) AS above",
+    )
+    paired = coloured.selectExpr("*", f"explode(sequence(0L, {last}L)) AS x").selectExpr("*", f"explode(sequence(x, {last}L)) AS y")
+    return paired.selectExpr(
+        f"{triple_key(colouring, 'a', 'x', 'y')} AS {group}", "lo", "lo_parts", "filter(above, h -> h.colour = x OR h.colour = y) AS above"
+    ).where("size(above) > 0")
+
+
 def _left_of_triple(key: str, colouring: Colouring, u: str, v: str) -> str:
     """The colour of a packed triple besides those of two vertices."""
     c = colouring.colours
@@ -86,21 +106,14 @@ def _dense(counts: DataFrame, group: str, groups: int) -> DataFrame:
     return counts.unionByName(zeros).groupBy(group).agg(F.expr(_sum("triangles")).alias("triangles"))
 
 
-def triangles_exact(edges: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """One row: the number of triangles of the undirected simple graph under ``edges``."""
-    return closed(orient(simplify(edges), piece_rows)).selectExpr(f"{_sum('triangles')} AS triangles")
+def _simple(edges: DataFrame, is_simple: bool) -> DataFrame:
+    """``edges``, cleaned up unless the caller says that they are."""
+    return edges if is_simple else simplify(edges)
 
 
-def _replicated(edges: DataFrame, colouring: Colouring, piece_rows: int) -> DataFrame:
-    """Each oriented edge once per colour, under the sorted triple of its own two and that colour.
-
-    The orientation is made once, before replication; any one order of the vertices serves all triples.
-    """
-    coloured = orient(simplify(edges), piece_rows).selectExpr(
-        "lo", "hi", f"{colouring.spark('lo.id')} AS a", f"{colouring.spark('hi.id')} AS b"
-    )
-    copies = coloured.selectExpr("*", f"explode(sequence(0L, {colouring.colours - 1}L)) AS third")
-    return copies.selectExpr(f"{triple_key(colouring, 'a', 'b', 'third')} AS k", "lo", "hi")
+def triangles_exact(edges: DataFrame, piece_rows: int = PIECE_ROWS, is_simple: bool = False) -> DataFrame:
+    """One row: the number of triangles of the undirected simple graph under ``edges``."""
+    return closed(orient(_simple(edges, is_simple), piece_rows)).selectExpr(f"{_sum('triangles')} AS triangles")
 
 
 def triangles_per_triple(edges: DataFrame, colouring: Colouring, piece_rows: int = PIECE_ROWS) -> DataFrame:
@@ -110,7 +123,7 @@ def triangles_per_triple(edges: DataFrame, colouring: Colouring, piece_rows: int
     ``colours`` keys, and a vertex has about two in ``colours`` of its edges in any of them.
     """
     c = colouring.colours
-    counts = closed(_replicated(edges, colouring, piece_rows), "k", colouring).groupBy("k").agg(
+    counts = closed(orient(simplify(edges), piece_rows), "k", colouring).groupBy("k").agg(
         F.sum("triangles").alias("triangles")
     )
     return counts.where("triangles > 0").selectExpr(
@@ -118,9 +131,11 @@ def triangles_per_triple(edges: DataFrame, colouring: Colouring, piece_rows: int
     )
 
 
-def triangles_colour_triple(edges: DataFrame, colouring: Colouring, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def triangles_colour_triple(
+    edges: DataFrame, colouring: Colouring, piece_rows: int = PIECE_ROWS, is_simple: bool = False
+) -> DataFrame:
     """One row: the exact count, by replication to colour triples."""
-    counts = closed(_replicated(edges, colouring, piece_rows), "k", colouring)
+    counts = closed(orient(_simple(edges, is_simple), piece_rows), "k", colouring)
     return counts.selectExpr(f"{_sum('triangles')} AS triangles")
 
 
@@ -145,13 +160,15 @@ def triangles_node_colour(edges: DataFrame, colouring: Colouring, piece_rows: in
     return local.selectExpr(f"{c} AS colours", "local", f"{c * c}L * local AS estimate")
 
 
-def triangles_edge_partition(edges: DataFrame, parts: EdgePartitioning, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def triangles_edge_partition(
+    edges: DataFrame, parts: EdgePartitioning, piece_rows: int = PIECE_ROWS, is_simple: bool = False
+) -> DataFrame:
     """``(partitions, local, estimate)``: triangles within one edge partition, scaled likewise.
 
     Partitions are a hash of the simple edge, so copies of an edge cannot fall into several.
     """
     n = parts.partitions
-    oriented = orient(simplify(edges), piece_rows)
+    oriented = orient(_simple(edges, is_simple), piece_rows)
     ends = "least(lo.id, hi.id)", "greatest(lo.id, hi.id)"
     local = closed(oriented.selectExpr("lo", "hi", f"{parts.spark(*ends)} AS part"), "part")
     return local.selectExpr(f"{_sum('triangles')} AS local").selectExpr(
@@ -159,7 +176,9 @@ def triangles_edge_partition(edges: DataFrame, parts: EdgePartitioning, piece_ro
     )
 
 
-def triangle_runs(edges: DataFrame, colourings: list[Colouring], piece_rows: int = PIECE_ROWS) -> DataFrame:
+def triangle_runs(
+    edges: DataFrame, colourings: list[Colouring], piece_rows: int = PIECE_ROWS, is_simple: bool = False
+) -> DataFrame:
     """``(run, estimate)``: one estimate per colouring, all in a single job.
 
     An edge goes to the runs that give its ends one colour; edges of no run are dropped in the scan.
@@ -178,7 +197,7 @@ def triangle_runs(edges: DataFrame, colourings: list[Colouring], piece_rows: int
     def alike(u: str, v: str) -> str:
         return f"({indexed_hash(u, 'c', degree)} % {colourings[0].colours}) = ({indexed_hash(v, 'c', degree)} % {colourings[0].colours})"
 
-    kept = simplify(edges).where(f"exists({table}, c -> {alike('u', 'v')})")
+    kept = _simple(edges, is_simple).where(f"exists({table}, c -> {alike('u', 'v')})")
     runs = orient(kept, piece_rows).selectExpr("lo", "hi", f"posexplode({table}) AS (at, c)").where(alike("lo.id", "hi.id"))
     per_run = runs.selectExpr("lo", "hi", "CAST(at AS BIGINT) AS run")
     return _dense(closed(per_run, "run"), "run", len(colourings)).selectExpr("run", f"{scale}L * triangles AS estimate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from countloom.functions.hashing import Colouring, EdgePartitioning
-from countloom.operators.graph import edge_count
+from countloom.operators.graph import counted, simple_of
 from countloom.operators.triangles import (
     median_of_runs,
     triangle_runs,
@@ -25,10 +25,11 @@ def run_colourings(colours: int, runs: int, seed: int, family: str = "poly") ->
     return [Colouring.seeded(colours, seed + run, family) for run in range(runs)]
 
 
-def _report(edges: DataFrame, dataset: str, colours: int, runs: int, **results: Column) -> DataFrame:
-    return edges.sparkSession.range(0, 1, 1, 1).select(
+def _report(copies: DataFrame, dataset: str, colours: int, runs: int, **results: Column) -> DataFrame:
+    edges = copies.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint"))
+    return copies.sparkSession.range(0, 1, 1, 1).select(
         F.lit(dataset).alias("dataset"),
-        edge_count(edges).scalar().alias("edges"),
+        edges.scalar().alias("edges"),
         F.lit(colours).alias("colours"),
         F.lit(runs).alias("runs"),
         *(value.alias(name) for name, value in results.items()),
@@ -37,10 +38,15 @@ def _report(edges: DataFrame, dataset: str, colours: int, runs: int, **results:
 
 def approximate_report(edges: DataFrame, dataset: str, colours: int, runs: int, seed: int = 0) -> DataFrame:
     """``(dataset, edges, colours, runs, node_colour, edge_partition)``: the median of ``runs``
-    estimates by node colours, and one estimate by edge partitions."""
-    median = median_of_runs(triangle_runs(edges, run_colourings(colours, runs, seed))).select("median")
-    parts = triangles_edge_partition(edges, EdgePartitioning.seeded(colours, seed)).select("estimate")
-    return _report(edges, dataset, colours, runs, node_colour=median.scalar(), edge_partition=parts.scalar())
+    estimates by node colours, and one estimate by edge partitions.
+
+    All three read the edges from one exchange, which also counts their copies.
+    """
+    copies = counted(edges)
+    simple = simple_of(copies)
+    median = median_of_runs(triangle_runs(simple, run_colourings(colours, runs, seed), is_simple=True)).select("median")
+    parts = triangles_edge_partition(simple, EdgePartitioning.seeded(colours, seed), is_simple=True).select("estimate")
+    return _report(copies, dataset, colours, runs, node_colour=median.scalar(), edge_partition=parts.scalar())
 
 
 def exact_report(edges: DataFrame, dataset: str, colours: int, runs: int, seed: int = 0) -> DataFrame:
@@ -49,8 +55,9 @@ def exact_report(edges: DataFrame, dataset: str, colours: int, runs: int, seed:
     All runs give the same number, so it is counted once.
     """
     _check_runs(runs)
-    exact = triangles_colour_triple(edges, Colouring.seeded(colours, seed))
-    return _report(edges, dataset, colours, runs, triangles=exact.scalar())
+    copies = counted(edges)
+    exact = triangles_colour_triple(simple_of(copies), Colouring.seeded(colours, seed), is_simple=True)
+    return _report(copies, dataset, colours, runs, triangles=exact.scalar())
 
 
 def triangle_report(

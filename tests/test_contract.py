@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from check import TABLES, rows
+from check import TABLES, kinds, rows
 from conftest import SF_SMALL, scalar
 from countloom import oracle, workloads
 
@@ -25,5 +25,5 @@ def test_query_equals_its_twin(spark, name):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_SMALL}/{table}.parquet'")
     cursor = db.execute(contract.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
-    assert sorted(columns) == sorted(result.columns)
+    assert kinds(cursor.description) == dict(result.dtypes)
     assert got == rows(columns, cursor.fetchall())
