@@ -46,27 +46,29 @@ def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | Non
     # both uses are alike to the optimizer: each reads every column, ids and pieces are one array, and
     # rows are left out behind a generator, since a filter would move below the exchange.
     lists = gathered.selectExpr(
-        *keys, "lo", "lo_parts", "concat(above.id, above.parts) AS packed", f"explode(sequence(0, (size(above) - 1) div {step})) AS block"
+        *keys, "lo", "lo_parts", "size(above) AS n",
+        # Pieces follow the ids where any vertex has several.
+        "CASE WHEN array_max(above.parts) > 1 THEN concat(above.id, above.parts) ELSE above.id END AS packed",
+        f"explode(sequence(0, (size(above) - 1) div {step})) AS block",
     ).repartition(*keys, "lo", "block")
     sent = (
-        lists.selectExpr(*keys, "lo", "lo_parts", "block", "packed", "size(packed) div 2 AS n")
-        .selectExpr(
+        lists.selectExpr(
             *keys, "lo", "lo_parts", "block", "packed", "n",
-            f"posexplode_outer(slice(packed, int(block * {step} + 1), least({step}, int(n - block * {step})))) AS (at, mid)",
+            f"posexplode_outer(slice(packed, int(block * {step} + 1), least({step}, n - int(block * {step})))) AS (at, mid)",
         )
         .selectExpr(*keys, "lo", "lo_parts", "packed", "n", "mid", f"int(block * {step} + at) AS at")
         .where("at + 1 < n")
         .selectExpr(
             *keys,
             "mid",
-            "pmod(xxhash64(lo), coalesce(packed[int(n + at)], lo_parts)) AS piece",
-            "slice(packed, at + 2, int(n - at - 1)) AS candidates",
+            "pmod(xxhash64(lo), coalesce(try_element_at(packed, n + at + 1), 1L + 0L * lo_parts)) AS piece",
+            "slice(packed, at + 2, n - at - 1) AS candidates",
             *([f"{_left_of_triple(group, owner, 'lo', 'mid')} AS third"] if owner else []),
         )
     )
     own = lists.selectExpr(
-        *keys, "lo AS mid", "packed", "explode_outer(CASE WHEN block = 0 THEN sequence(0L, lo_parts - 1) END) AS piece"
-    ).where("piece IS NOT NULL").selectExpr(*keys, "mid", "piece", "slice(packed, 1, int(size(packed) div 2)) AS ids")
+        *keys, "lo AS mid", "n", "packed", "explode_outer(CASE WHEN block = 0 THEN sequence(0L, lo_parts - 1) END) AS piece"
+    ).where("piece IS NOT NULL").selectExpr(*keys, "mid", "piece", "slice(packed, 1, n) AS ids")
     # The second argument is the one that gets hashed; on average it is the shorter.
     common = "array_intersect(ids, candidates)"
     if owner:
