@@ -227,6 +227,7 @@ def sql() -> dict[str, str]:
     hu, hv = _colour("u"), _colour("v")
     return {
         "edges_from_lines": _tour_edges(last=True),
+        "read_edges": _tour_edges(last=True),
         "edges_from_lines_all": _tour_edges(last=False),
         "edges_from_lines_lenient": "SELECT event_id AS u, user_id AS v FROM events WHERE event_type <> 'error' AND event_id <> user_id",
         "rejected_lines": "SELECT concat(event_id, ',error') AS value FROM events WHERE event_type = 'error'",

@@ -16,7 +16,7 @@ from countloom.operators import graph as gr
 from countloom.operators import sketch as sk
 from countloom.operators import triangles as tr
 from countloom.plans import graph_report, stream_report
-from countloom.sources.edges import edges_from_lines, edges_from_table, rejected_lines
+from countloom.sources.edges import edges_from_lines, edges_from_table, read_edges, rejected_lines
 from countloom.sources.items import items_from_lines, items_from_table, read_item_stream
 from countloom.streaming.ledger import BatchLedger
 from countloom.streaming.sketch import SketchTable, start_sketch
@@ -76,6 +76,13 @@ def tour_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(f"{path} AS value")
 
 
+def edges_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tours as a folder of text files, read back."""
+    folder = f"{shared_folder(spark, 'edge-text')}/lines"
+    tour_lines(spark, sf_dir).write.text(folder)
+    return read_edges(spark, folder)
+
+
 def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of which some carry a word, and some trailing commas."""
     path = "concat_ws(',', event_id, CASE WHEN event_type = 'error' THEN event_type ELSE CAST(user_id AS STRING) END)"
@@ -150,14 +157,18 @@ def staged_slices(spark: SparkSession, sf_dir: str, folder: str) -> int:
 
 
 def stream_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events arrive as files, several micro-batches' worth, and are read as a stream until none is left."""
+    """The events arrive as files, several micro-batches' worth, at the default trigger, until none is left."""
     folder = shared_folder(spark, "stream-sketch")
     staged_slices(spark, sf_dir, folder)
     items = read_item_stream(
         spark, "parquet", schema=ARRIVED, value=VALUE_TEXT, path=f"{folder}/slices", maxFilesPerTrigger=str(FILES_PER_BATCH)
     )
     counters = SketchTable(spark, f"{folder}/counters")
-    start_sketch(items, SKETCH, *VALUE_RANGE, counters, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    query = start_sketch(items, SKETCH, *VALUE_RANGE, counters, f"{folder}/checkpoint")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
     return counters.read()
 
 
@@ -188,6 +199,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     # sources
     "edges_from_lines": lambda s, d: edges_from_lines(tour_lines(s, d)),
+    "read_edges": edges_of_text,
     "edges_from_lines_all": lambda s, d: edges_from_lines(tour_lines(s, d), mode="all"),
     "edges_from_lines_lenient": lambda s, d: edges_from_lines(mixed_lines(s, d), strict=False),
     "rejected_lines": lambda s, d: rejected_lines(mixed_lines(s, d)),
