@@ -9,7 +9,8 @@ windows have equal anchors at equal places, so only suffixes that start at ancho
 against others with the same anchor.  The windows that share one anchor form its context, the bytes from the
 first window's start to the last one's end.
 
-1. Anchors: each task lists ``(hash of the anchor, hash of the context, document, place)`` of its texts.
+1. Anchors: each task lists ``(hash of the anchor, hash of the context, document, place)`` of its texts, one
+   place for all equal contexts of a batch.
 2. Sorted by those hashes, equal contexts are neighbours: all their windows are repeats, settled without
    looking at a byte.  Anchors met once have no repeat.  What remains are anchors with different contexts,
    and of each different context one place.
@@ -32,7 +33,7 @@ bits besides the 64 of their anchor.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +120,7 @@ def anchors(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.
     return first, last, at, hashed[at], context
 
 
-def pieces(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
+def pieces(texts: Iterable[bytes], most: int = CHUNK_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
     """Lists of ``(text, offset, bytes)`` of about ``most`` bytes.  A longer text comes in pieces that overlap
     by one byte less than a window, so that every window is in one piece."""
     chunk, size = [], 0
@@ -152,12 +153,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """``(anchor, context, doc, place)``."""
+    """``(anchor, context, doc, place, many)``.
+
+    Contexts that a batch has several times are combined before they are dealt out: one place stands for
+    them with ``many`` true, and all of them are passed on as settled, ``many`` null, under their document
+    instead of their anchor.  So a passage that is everywhere is a row per batch at its anchor.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         doc, mark = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
         found = []
-        for chunk in pieces(batch.column("text").cast(pa.binary()).to_pylist()):
+        for chunk in pieces(x.as_py().encode() for x in batch.column("text")):
             data = np.frombuffer(b"".join(part for _, _, part in chunk), np.uint8)
             ends = np.cumsum([len(part) for _, _, part in chunk])
             begins = np.append(0, ends[:-1])
@@ -167,9 +173,22 @@ def _occurrences(docs: DataFrame) -> DataFrame:
             offset = np.array([o for _, o, _ in chunk])[part] - begins[part]
             place = _pack(at + offset, at - first, last - first + 1, mark[text])
             found.append((anchor.view(np.int64), context.view(np.int64), doc[text], place))
-        return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names=["anchor", "context", "doc", "place"])
-
-    return with_batches(_keyed(docs).select("doc", "mark", "text"), work, "anchor bigint, context bigint, doc bigint, place bigint")
+        anchor, context, doc, place = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((context, anchor))
+        same = (np.diff(anchor[order]) == 0) & (np.diff(context[order]) == 0)
+        repeated_ = np.zeros(len(order), bool)
+        repeated_[1:] |= same
+        repeated_[:-1] |= same
+        begins_run = np.concatenate([np.ones(min(1, len(order)), bool), ~same])
+        keyed, settled = order[begins_run], order[repeated_]
+        rows = np.concatenate([keyed, settled])
+        spread = mix(doc[settled].view(np.uint64)).view(np.int64)
+        many = pa.concat_arrays([pa.array(repeated_[begins_run]), pa.nulls(len(settled), pa.bool_())])
+        columns = [pa.array(np.concatenate([anchor[keyed], spread])), pa.array(context[rows]), pa.array(doc[rows]), pa.array(place[rows]), many]
+        return pa.record_batch(columns, names=["anchor", "context", "doc", "place", "many"])
+
+    schema = "anchor bigint, context bigint, doc bigint, place bigint, many boolean"
+    return with_batches(_keyed(docs).select("doc", "mark", "text"), work, schema, rows=None)
 
 
 # -- equal contexts -------------------------------------------------------------------------------
@@ -180,7 +199,8 @@ SETTLED = "doc bigint, mark bigint, begin bigint, end bigint, anchor bigint, pla
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by anchor and context: spans of places whose context occurs again, and one place of
     each context whose anchor has several.  Keeps a row and a run at a time, however long the run."""
-    names = ("anchor", "context", "doc", "place")
+    names = ("anchor", "context", "doc", "place", "many")
+    nothing = np.empty((len(names), 0), np.int64)
     held: np.ndarray | None = None  # the last row, whose successor is not known yet
     held_again = False
     run: np.ndarray | None = None  # the first row of the last run of equal contexts
@@ -204,11 +224,18 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([batch.column(n).to_numpy() for n in names])
+        many_ = batch.column("many")
+        whole = np.stack([*(batch.column(n).to_numpy() for n in names[:4]), pc.fill_null(many_, False).cast(pa.int64()).to_numpy()])
+        passed = many_.is_null().to_numpy(zero_copy_only=False)
+        if passed.any():
+            yield out(whole[:, passed], nothing, np.empty(0, bool))
+        rows = whole[:, ~passed]
+        if not rows.shape[1]:
+            continue
         if held is not None:
             rows = np.concatenate([held, rows], axis=1)
         same = (rows[0, 1:] == rows[0, :-1]) & (rows[1, 1:] == rows[1, :-1])
-        again = np.zeros(rows.shape[1], bool)
+        again = rows[4].astype(bool)
         again[1:] |= same
         again[:-1] |= same
         again[0] |= held_again
@@ -223,7 +250,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joined[1:] |= alike
         joined[:-1] |= alike
         joined[0] |= run_joined
-        held, held_again = rows[:, -1:], bool(same[-1]) if len(same) else bool(again[-1])
+        held, held_again = rows[:, -1:], bool(again[-1])
         run, run_many, run_joined = reps[:, -1:], bool(many[-1]), bool(joined[-1])
         # Every row but the last is settled, and every run but the last.
         yield out(rows[:, :-1][:, again[:-1]], reps[:, :-1][:, joined[:-1]], many[:-1][joined[:-1]])
