@@ -60,6 +60,8 @@ def exact_dedup(
     )
     repeated = hashed.where("_full IS NOT NULL")
     groups = repeated.groupBy("_full").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Written out, so that the rows of a large group may be split between the tasks of the join.
+    groups = materialise(groups, "dedup-groups")
     grouped = repeated.join(groups, "_full").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), *carried
     )
