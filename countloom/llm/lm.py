@@ -9,8 +9,8 @@ is no hot spot.  A trie has three levels in one buffer of 64-bit words:
 * the successors, made rising by adding the context's rank, with an 8-bit code of the pair's probability:
   its count, that is its probability times the number of tokens, on a scale with steps of 8 %.
 
-A pair is looked up by its context, then by successor search relative to the context.  The buffer can be
-written to a file and mapped into memory.  With exact counts of words ``c``, a pair of probability code
+A pair is looked up by its context, then by successor search relative to the context.  The task of a shard
+writes the buffer to a file and maps it into memory.  With exact counts of words ``c``, a pair of probability code
 ``q`` and the base probability ``b(w) = (c(w) + 1) / (N + V + 1)``, the model's probability is
 ``(q(v, w) + m b(w)) / (c(v) + m)``: the Dirichlet prior ``m`` is the one of ``PRIORS`` that gives the
 training texts, each pair left out of its own count, the highest likelihood.
@@ -37,7 +37,9 @@ from xxhash import xxh64_intdigest
 
 from countloom.llm.common import materialise, table, text_of, with_batches
 from countloom.llm.elias_fano import EliasFano
+from countloom.llm.files import Output, mapped_words
 from countloom.llm.labelled import held_out
+from countloom.workspace import shared_folder
 
 FOLDS, FOLD = 7, 2
 BLOCK_BYTES = 8 << 20
@@ -92,12 +94,14 @@ class Trie:
         codes[: len(keys)] = quantise(counts)
         return cls(np.concatenate([part for level in levels for part in level.parts()] + [codes.view("<u8")]))
 
-    def save(self, path: str) -> None:
-        self.words.tofile(path)
+    def save(self, address: str) -> None:
+        out = Output(address)
+        out.write(self.words.tobytes())
+        out.close()
 
     @classmethod
-    def mapped(cls, path: str) -> Trie:
-        return cls(np.memmap(path, "<u8", "r"))
+    def mapped(cls, address: str) -> Trie:
+        return cls(mapped_words(address))
 
     def look_up(self, keys: np.ndarray) -> np.ndarray:
         """The code of each key, 0 where it is not known."""
@@ -249,8 +253,8 @@ def _tally(docs: pa.Table, shards: int) -> Tally:
     return Tally.of(docs.column("text").to_pylist(), [not h for h in docs.column("held_out").to_pylist()], shards)
 
 
-def _answer(runs: pa.Table) -> pa.Table:
-    """For ``applyInArrow`` by shard: build the trie of the shard and look up every run in it."""
+def _answer(folder: str, runs: pa.Table) -> pa.Table:
+    """For ``applyInArrow`` by shard: write the trie of the shard, map it and look up every run in it."""
     shard = runs.column("shard")[0].as_py()
     columns = [runs.column(c).to_pylist() for c in ("words", "word_counts", "pairs", "pair_counts")]
     words = [(rising_unpacked(k), unpacked(n, "<u4")) for k, n in zip(columns[0], columns[1])]
@@ -258,7 +262,9 @@ def _answer(runs: pa.Table) -> pa.Table:
     _, totals, places = _merged(words)
     keys, pair_totals, _ = _merged(pairs)
     seen = pair_totals > 0
-    trie = Trie.of(keys[seen], pair_totals[seen])
+    address = f"{folder}/shard-{shard:06d}.trie"
+    Trie.of(keys[seen], pair_totals[seen]).save(address)
+    trie = Trie.mapped(address)
     # Block -1 tells the sums of the shard.
     rows = [(-1, shard, int(totals.sum()), int((totals > 0).sum()), b"", b"")]
     for block, place, (run, _) in zip(runs.column("block").to_pylist(), places, pairs):
@@ -303,8 +309,11 @@ def _scorer(shards: int, tokens: int, types: int):
     return score
 
 
-def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row."""
+def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES, tries: str | None = None) -> DataFrame:
+    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
+
+    The tries are left in the folder ``tries``, by default a fresh one among the shared tables.
+    """
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_of())), F.lit(0)).alias("n")).first().n
     blocks = shards = max(1, -(-size // block_bytes))
 
@@ -312,7 +321,8 @@ def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         return _record(RUNS, list(_tally(_opened(bundles), shards).runs(key[0].as_py())))
 
     runs = _deal(docs, blocks).groupBy("block").applyInArrow(count, RUNS)
-    answers = materialise(runs.groupBy("shard").applyInArrow(_answer, ANSWERS), "lm-answers")
+    folder = tries or shared_folder(docs.sparkSession, "lm-tries")
+    answers = materialise(runs.groupBy("shard").applyInArrow(lambda part: _answer(folder, part), ANSWERS), "lm-answers")
     sums = answers.where("block < 0").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).first()
     tokens, types = sums.tokens or 0, sums.types or 0
     replies = answers.where("block >= 0").select("block", "shard", "counts", "codes")

@@ -26,11 +26,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from countloom.llm.common import materialise, table, text_of
+from countloom.llm.files import Output, located
 from countloom.workspace import shared_folder
 
 LEAST_BYTES = 100
@@ -41,33 +41,6 @@ GZIP = 31
 DATE = "2000-01-01T00:00:00Z"
 
 
-def located(address: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of an address; Hadoop writes local ones with a single slash."""
-    if address.startswith("file:/") and not address.startswith("file://"):
-        address = address.removeprefix("file:")
-    return fs.FileSystem.from_uri(address)
-
-
-class Output:
-    """A file that appears under its name only when it is complete."""
-
-    def __init__(self, address: str):
-        self.system, self.path = located(address)
-        context = TaskContext.get()
-        self.draft = f"{self.path}.{context.taskAttemptId() if context else 0}.part"
-        self.system.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
-        self.stream = self.system.open_output_stream(self.draft, compression=None)
-        self.size = 0
-
-    def write(self, data: bytes) -> None:
-        self.stream.write(data)
-        self.size += len(data)
-
-    def close(self) -> None:
-        self.stream.close()
-        self.system.move(self.draft, self.path)
-
-
 # -- records --------------------------------------------------------------------------------------
 
 
