@@ -33,7 +33,7 @@ from countloom.llm.components import connected_components
 
 SHINGLE_WORDS, SEED, RADIUS = 3, 42, 2
 # Fingerprints that shape the tree; fingerprints aimed at per shard; fingerprints compared one by one.
-SAMPLE_POINTS, SHARD_POINTS, LEAF_POINTS = 1 << 14, 1 << 13, 128
+SAMPLE_POINTS, SHARD_POINTS, LEAF_POINTS = 1 << 14, 1 << 11, 128
 VANTAGE_CANDIDATES = 8
 
 
