@@ -42,12 +42,12 @@ def format_conversations(rows: DataFrame, trained_role: str = "assistant") -> Da
             {_ESCAPE.format(x="coalesce(text, '')")} AS body) AS t""",
     )
     sorted_turns = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    # Where a message starts.  ``turns`` is used more than once in each step, so it is never inlined.
-    roles = sorted_turns.selectExpr("conv_id", "turns", "turns.role AS roles")
-    starts = roles.selectExpr(
+    # Where a message starts.  ``turns`` is used more than once in each step, so it is never inlined; its
+    # elements are taken before their fields, since the fields of all would be collected for each element.
+    starts = sorted_turns.selectExpr(
         "conv_id",
         "turns",
-        """filter(sequence(0, size(turns) - 1), i -> i = 0 OR NOT roles[i] = roles[greatest(i - 1, 0)]) AS starts""",
+        "filter(sequence(0, size(turns) - 1), i -> i = 0 OR NOT turns[i].role = turns[greatest(i - 1, 0)].role) AS starts",
     )
     messages = starts.selectExpr(
         "conv_id",
