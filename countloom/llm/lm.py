@@ -42,7 +42,7 @@ from countloom.llm.labelled import held_out
 from countloom.workspace import shared_folder
 
 FOLDS, FOLD = 7, 2
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 CONTEXT_BITS, SUCCESSOR_BITS = 36, 20
 SLICES = 16
 PRIORS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e5)
@@ -164,6 +164,8 @@ class Tally:
             words.append(END)
             sizes.append(len(words))
             tokens.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+        # It refers to itself, and so would stay in memory until the next full collection.
+        number.default_factory = None
         word, sizes = np.concatenate(tokens), np.array(sizes)
         before = np.concatenate([[0], word[:-1]])
         before[before == 1] = 0  # after an end comes a beginning
