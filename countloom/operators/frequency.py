@@ -93,16 +93,15 @@ def _last_batch(totals: DataFrame, threshold: Column) -> DataFrame:
     The running total is built at two levels, blocks of batches and batches of a block, so that no
     task sorts all batches.
     """
-    blocked = totals.withColumn("block", F.expr(f"batch div {BATCH_BLOCK}"))
 
     def preceding(column: str, window: Window) -> Column:
         return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    blocks = blocked.groupBy("block").agg(F.sum("n").alias("n"))
+    blocks = totals.groupBy("block").agg(F.sum("n").alias("n"))
     begun = blocks.select("block", preceding("n", Window.orderBy("block")).alias("before")).where(
         F.col("before") < threshold
     )
-    within = blocked.join(begun, "block").select(
+    within = totals.join(begun, "block").select(
         "batch",
         (F.col("before") + preceding("n", Window.partitionBy("block").orderBy("batch"))).alias("before"),
     )
@@ -117,7 +116,9 @@ def stream_prefix(items: DataFrame, threshold: int | Column = DEFAULT_THRESHOLD,
     one comparison on ``batch_id``.  ``threshold`` may be a one-row subquery (``DataFrame.scalar``); with
     ``share`` it is that many thousandths of all items, taken from the same batch totals.
     """
-    totals = batch_totals(items)
+    # The test is one that the join on blocks implies; said here, it holds for every use of the totals, and the
+    # exchange under them is computed once.
+    totals = batch_totals(items).withColumn("block", F.expr(f"batch div {BATCH_BLOCK}")).where("block IS NOT NULL")
     if share is not None:
         limit = totals.agg(F.expr(f"coalesce(sum(n), 0L) * {share} div 1000")).scalar()
     else:
