@@ -30,6 +30,7 @@ from xxhash import xxh64_intdigest
 
 from countloom.llm.common import materialise, table, text_of, with_batches
 from countloom.llm.components import connected_components
+from countloom.llm.near_copies import drop_near_copies  # noqa: F401
 
 SHINGLE_WORDS, SEED, RADIUS = 3, 42, 2
 # Fingerprints that shape the tree; fingerprints aimed at per shard; fingerprints compared one by one.
@@ -210,12 +211,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class, the one with the least id."""
-    gone = materialise(near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct(), "near-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
