@@ -8,8 +8,8 @@ first, so a group of copies of any size is one row per task.
 
 Defined results: a null text equals the empty one; texts are equal when identical after lower-casing
 A-Z; of equal texts the largest id stays; a null id never wins over another, and is kept only if its
-group has no other; rows that repeat both id and text count in ``group_size`` and are all kept, as the
-id is taken for a key.  An empty table gives an empty result.  Other columns are ignored, whatever
+group has no other; rows that repeat both id and text count in ``group_size`` and are all marked kept, as
+the id is taken for a key, but ``drop_copies`` leaves one of them.  An empty table gives an empty result.  Other columns are ignored, whatever
 their names, unless asked for by ``carry``.
 """
 
@@ -69,9 +69,16 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that another copy stands for."""
-    gone = materialise(exact_dedup(docs).where("NOT kept").select("doc_id"), "dedup-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one row of each group: that of the id kept, of several the least by a hash of all columns.
+
+    Rows are told apart by a number of their own, so null and repeated ids are dropped like any other.
+    """
+    rows = materialise(docs.withColumns({"_row": F.monotonically_increasing_id(), "_all": F.xxhash64(*docs.columns)}), "dedup-docs")
+    carry = {"row": F.col("_row"), "rank": F.struct("_all", "_row"), "digest": F.sha2(normal(), 256)}
+    copies = materialise(exact_dedup(rows, carry=carry).where("group_size > 1").select("kept", *carry), "dedup-copies")
+    stay = copies.where("kept").groupBy("digest").agg(F.min("rank").alias("least")).selectExpr("least._row AS row")
+    gone = materialise(copies.join(stay, "row", "left_anti").selectExpr("row AS _row"), "dedup-gone")
+    return rows.join(gone, "_row", "left_anti").select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

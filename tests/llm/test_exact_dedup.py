@@ -38,3 +38,12 @@ def test_empty_table_and_dropping(spark, docs, on):
     assert found(on(x, spark, documents=docs([]))) == []
     kept = x.drop_copies(docs([(1, "A", "r"), (2, "a", "s"), (3, "b", "t")]))
     assert sorted(map(tuple, kept.collect())) == [(2, "a", "s"), (3, "b", "t")]
+
+
+def test_dropping_null_and_repeated_ids(spark, docs):
+    rows = [(1, "A", "r"), (None, "a", "s"), (None, "b", "t"), (None, "B", "t"), (4, "c", "u"), (4, "c", "u"), (4, "C", "v")]
+    rows += [(5, "d", "w"), (6, "D", "x"), (5, "unique", "y")]
+    kept = x.drop_copies(docs(rows)).collect()
+    assert sorted(((r.doc_id, r.text.lower()) for r in kept), key=repr) == sorted(
+        [(1, "a"), (None, "b"), (4, "c"), (6, "d"), (5, "unique")], key=repr
+    )
