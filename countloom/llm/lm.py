@@ -2,11 +2,11 @@
 
 Tokens are the lower-cased words of a text and one end.  Single words are counted exactly.  Pairs are held
 by tries, sharded by their first word, each first word spread over ``SLICES`` shards so that a frequent one
-is no hot spot.  A trie has three levels in one buffer of 64-bit words:
+is no hot spot.  A trie has these levels in one buffer of 64-bit words:
 
-* the contexts (hashes of first words), rising, in Elias-Fano code;
+* the contexts (64-bit hashes of first words), rising, in Elias-Fano code, and so the vocabulary of successors;
 * the pointers, rising, to where each context's successors begin;
-* the successors, made rising by adding the context's rank, with an 8-bit code of the pair's probability:
+* the successors' ranks in the vocabulary, made rising by the context's rank times its size, with an 8-bit code of the pair's probability:
   its count, that is its probability times the number of tokens, on a scale with steps of 8 %.
 
 A pair is looked up by its context, then by successor search relative to the context.  The task of a shard
@@ -21,7 +21,8 @@ same order; so neither tokens nor models are moved, and no key is hot, since a b
 
 Defined results: a null text is an empty one, which is its end alone; a null id is held out; repeated rows
 count as often as they occur and are scored each; without training texts every base probability is 1; an
-empty table gives an empty result.  Pairs are told apart by 56 bits of hashes, words by 64.
+empty table gives an empty result.  Words are told apart by 64 bits of hashes,
+pairs by 64 of each word.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ from countloom.workspace import shared_folder
 
 FOLDS, FOLD = 7, 2
 BLOCK_BYTES = 6 << 20
+# Of pairs in one number, which only callers with small universes use.
 CONTEXT_BITS, SUCCESSOR_BITS = 36, 20
 SLICES = 16
 PRIORS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e5)
@@ -69,29 +71,42 @@ def quantise(counts: np.ndarray) -> np.ndarray:
     return np.where(counts <= 0, 0, np.where(nearer & (lower > 0), lower, upper)).astype(np.uint8)
 
 
+def _parted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context and successor of keys that have both in one number."""
+    return keys >> np.uint64(SUCCESSOR_BITS), keys & np.uint64((1 << SUCCESSOR_BITS) - 1)
+
+
 class Trie:
     def __init__(self, words: np.ndarray):
         self.words = words
         self.contexts, at = EliasFano.read(words, 0)
+        self.vocabulary, at = EliasFano.read(words, at)
         self.pointers, at = EliasFano.read(words, at)
         self.successors, at = EliasFano.read(words, at)
         self.codes = words[at:].view(np.uint8)
 
     @classmethod
     def of(cls, keys: np.ndarray, counts: np.ndarray) -> Trie:
-        """``keys`` rise; a key is a context and a successor."""
-        context = keys >> np.uint64(SUCCESSOR_BITS)
-        new = np.concatenate([np.ones(min(1, len(keys)), bool), context[1:] != context[:-1]])
+        """``keys`` rise; a key is a context and a successor in one number."""
+        return cls.of_pairs(*_parted(keys), counts)
+
+    @classmethod
+    def of_pairs(cls, contexts: np.ndarray, followers: np.ndarray, counts: np.ndarray) -> Trie:
+        """Pairs of 64-bit numbers rise by context, then by successor."""
+        n = len(contexts)
+        new = np.concatenate([np.ones(min(1, n), bool), contexts[1:] != contexts[:-1]])
         rank = np.cumsum(new) - 1
-        begins = np.append(np.flatnonzero(new), len(keys))
-        rising = rank.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | (keys & np.uint64((1 << SUCCESSOR_BITS) - 1))
+        begins = np.append(np.flatnonzero(new), n)
+        vocabulary, follower = np.unique(followers, return_inverse=True)
+        size = max(1, len(vocabulary))
         levels = (
-            EliasFano.of(context[new], 1 << CONTEXT_BITS),
-            EliasFano.of(begins, len(keys) + 1),
-            EliasFano.of(rising, max(1, len(begins) - 1) << SUCCESSOR_BITS),
+            EliasFano.of(contexts[new], 1 << 64),
+            EliasFano.of(vocabulary, 1 << 64),
+            EliasFano.of(begins, n + 1),
+            EliasFano.of(rank.astype(np.uint64) * np.uint64(size) + follower.astype(np.uint64), max(1, len(begins) - 1) * size),
         )
-        codes = np.zeros(-(-len(keys) // 8) * 8, np.uint8)
-        codes[: len(keys)] = quantise(counts)
+        codes = np.zeros(-(-n // 8) * 8, np.uint8)
+        codes[:n] = quantise(counts)
         return cls(np.concatenate([part for level in levels for part in level.parts()] + [codes.view("<u8")]))
 
     def save(self, address: str) -> None:
@@ -105,13 +120,15 @@ class Trie:
 
     def look_up(self, keys: np.ndarray) -> np.ndarray:
         """The code of each key, 0 where it is not known."""
-        out = np.zeros(len(keys), np.uint8)
-        rank = self.contexts.find(keys >> np.uint64(SUCCESSOR_BITS))
-        met = np.flatnonzero(rank >= 0)
-        rank = rank[met]
+        return self.look_up_pairs(*_parted(keys))
+
+    def look_up_pairs(self, contexts: np.ndarray, followers: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(contexts), np.uint8)
+        rank, follower = self.contexts.find(contexts), self.vocabulary.find(followers)
+        met = np.flatnonzero((rank >= 0) & (follower >= 0))
+        rank, follower = rank[met], follower[met]
         first, end = self.pointers.get(rank).astype(np.int64), self.pointers.get(rank + 1).astype(np.int64)
-        rising = rank.astype(np.uint64) << np.uint64(SUCCESSOR_BITS) | (keys[met] & np.uint64((1 << SUCCESSOR_BITS) - 1))
-        index = self.successors.find(rising, first, end)
+        index = self.successors.find(rank * self.vocabulary.n + follower, first, end)
         out[met[index >= 0]] = self.codes[index[index >= 0]]
         return out
 
@@ -144,12 +161,13 @@ class Tally:
     sizes: np.ndarray  # tokens per document
     word: np.ndarray  # per token
     before: np.ndarray  # per token, the word it follows
-    pair: np.ndarray  # per token, the index into ``pairs``
+    pair: np.ndarray  # per token, the index into ``contexts`` and ``followers``
     learnt: np.ndarray  # per token
     hashes: np.ndarray
     word_order: np.ndarray
     word_cuts: np.ndarray
-    pairs: np.ndarray
+    contexts: np.ndarray  # per pair, the hash of its first word
+    followers: np.ndarray  # and of its second
     pair_order: np.ndarray
     pair_cuts: np.ndarray
 
@@ -170,31 +188,38 @@ class Tally:
         before = np.concatenate([[0], word[:-1]])
         before[before == 1] = 0  # after an end comes a beginning
         hashes = np.fromiter(map(xxh64_intdigest, number), np.uint64, len(number))
-        key = hashes[before] >> np.uint64(64 - CONTEXT_BITS) << np.uint64(SUCCESSOR_BITS) | hashes[word] >> np.uint64(64 - SUCCESSOR_BITS)
-        pairs, pair = np.unique(key, return_inverse=True)
+        # By the numbers of words in the block, so that no two pairs fall together.
+        numbered, pair = np.unique(before * len(hashes) + word, return_inverse=True)
+        contexts, followers = hashes[numbered // len(hashes)], hashes[numbered % len(hashes)]
         word_shard = hashes % np.uint64(shards)
-        pair_shard = ((pairs >> np.uint64(SUCCESSOR_BITS)) + (pairs & np.uint64(SLICES - 1))) % np.uint64(shards)
+        pair_shard = (contexts + followers % np.uint64(SLICES)) % np.uint64(shards)
         edges = np.arange(shards + 1)
-        word_order, pair_order = np.lexsort((hashes, word_shard)), np.argsort(pair_shard, kind="stable")
+        word_order, pair_order = np.lexsort((hashes, word_shard)), np.lexsort((followers, contexts, pair_shard))
         return cls(
             sizes, word, before, pair, np.repeat(np.array(train), sizes), hashes,
-            word_order, np.searchsorted(word_shard[word_order], edges), pairs, pair_order, np.searchsorted(pair_shard[pair_order], edges),
+            word_order, np.searchsorted(word_shard[word_order], edges), contexts, followers, pair_order, np.searchsorted(pair_shard[pair_order], edges),
         )
 
     def runs(self, block: int):
-        """Per shard with any key: ``(shard, block, words, word counts, pairs, pair counts)``."""
+        """Per shard with any key: ``(shard, block, words, word counts, contexts, successors each, vocabulary,
+        successors, pair counts)``; the successors as places in the vocabulary."""
         word_n = np.bincount(self.word[self.learnt], minlength=len(self.hashes))[self.word_order].astype("<u4")
-        pair_n = np.bincount(self.pair[self.learnt], minlength=len(self.pairs))[self.pair_order].astype("<u4")
-        words, pairs = self.hashes[self.word_order], self.pairs[self.pair_order]
+        pair_n = np.bincount(self.pair[self.learnt], minlength=len(self.contexts))[self.pair_order].astype("<u4")
+        words, contexts, followers = self.hashes[self.word_order], self.contexts[self.pair_order], self.followers[self.pair_order]
         for shard in range(len(self.word_cuts) - 1):
             w = slice(*self.word_cuts[shard : shard + 2])
             p = slice(*self.pair_cuts[shard : shard + 2])
             if w.stop > w.start or p.stop > p.start:
-                yield shard, block, rising_packed(words[w]), packed(word_n[w]), rising_packed(pairs[p]), packed(pair_n[p])
+                context, each = np.unique(contexts[p], return_counts=True)
+                vocabulary, place = np.unique(followers[p], return_inverse=True)
+                yield (
+                    shard, block, rising_packed(words[w]), packed(word_n[w]), rising_packed(context), packed(each.astype("<u4")),
+                    rising_packed(vocabulary), packed(place.astype("<u4")), packed(pair_n[p]),
+                )
 
     def placed(self, answers: dict[int, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         """Counts per word and per pair, from the answers of the shards."""
-        counts, codes = np.empty(len(self.hashes), np.int64), np.empty(len(self.pairs), np.uint8)
+        counts, codes = np.empty(len(self.hashes), np.int64), np.empty(len(self.contexts), np.uint8)
         in_order = [answers[s] for s in sorted(answers)]
         counts[self.word_order] = np.concatenate([a for a, _ in in_order])
         codes[self.pair_order] = np.concatenate([b for _, b in in_order])
@@ -209,7 +234,13 @@ def _merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys, totals, np.split(index, np.cumsum([len(k) for k, _ in runs])[:-1])
 
 
-RUNS = "shard int, block int, words binary, word_counts binary, pairs binary, pair_counts binary"
+def _ranked(runs: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct values, rising, and for each run the ranks of its values."""
+    values, rank = np.unique(np.concatenate(runs), return_inverse=True)
+    return values, np.split(rank.astype(np.uint64), np.cumsum([len(r) for r in runs])[:-1])
+
+
+RUNS = "shard int, block int, words binary, word_counts binary, contexts binary, each binary, vocabulary binary, places binary, pair_counts binary"
 ANSWERS = "block int, shard int, tokens bigint, types bigint, counts binary, codes binary"
 DEALT = "block int, docs binary"
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, scores array<double>, left_out array<double>"
@@ -258,19 +289,26 @@ def _tally(docs: pa.Table, shards: int) -> Tally:
 def _answer(folder: str, runs: pa.Table) -> pa.Table:
     """For ``applyInArrow`` by shard: write the trie of the shard, map it and look up every run in it."""
     shard = runs.column("shard")[0].as_py()
-    columns = [runs.column(c).to_pylist() for c in ("words", "word_counts", "pairs", "pair_counts")]
-    words = [(rising_unpacked(k), unpacked(n, "<u4")) for k, n in zip(columns[0], columns[1])]
-    pairs = [(rising_unpacked(k), unpacked(n, "<u4")) for k, n in zip(columns[2], columns[3])]
+    of = lambda name, unpack, *kind: [unpack(x, *kind) for x in runs.column(name).to_pylist()]
+    words = list(zip(of("words", rising_unpacked), of("word_counts", unpacked, "<u4")))
     _, totals, places = _merged(words)
+    # Dense ranks within the shard stand for the hashes.
+    contexts, context_at = _ranked(of("contexts", rising_unpacked))
+    followers, follower_at = _ranked(of("vocabulary", rising_unpacked))
+    pairs = [
+        (np.repeat(c, each) << np.uint64(32) | f[place], n)
+        for c, each, f, place, n in zip(context_at, of("each", unpacked, "<u4"), follower_at, of("places", unpacked, "<u4"), of("pair_counts", unpacked, "<u4"))
+    ]
+    hashes = lambda keys: (contexts[keys >> np.uint64(32)], followers[keys & np.uint64(0xFFFFFFFF)])
     keys, pair_totals, _ = _merged(pairs)
     seen = pair_totals > 0
     address = f"{folder}/shard-{shard:06d}.trie"
-    Trie.of(keys[seen], pair_totals[seen]).save(address)
+    Trie.of_pairs(*hashes(keys[seen]), pair_totals[seen]).save(address)
     trie = Trie.mapped(address)
     # Block -1 tells the sums of the shard.
     rows = [(-1, shard, int(totals.sum()), int((totals > 0).sum()), b"", b"")]
     for block, place, (run, _) in zip(runs.column("block").to_pylist(), places, pairs):
-        rows.append((block, shard, 0, 0, packed(totals[place].astype("<u8")), zstandard.compress(trie.look_up(run).tobytes(), 1)))
+        rows.append((block, shard, 0, 0, packed(totals[place].astype("<u8")), zstandard.compress(trie.look_up_pairs(*hashes(run)).tobytes(), 1)))
     return _record(ANSWERS, rows)
 
 

@@ -94,3 +94,21 @@ def test_the_model_against_sums_by_hand(spark, docs):  # noqa: F811
         for m in lm.PRIORS
     }
     assert any(all(abs(by_prior[m][r.doc_id] - r.score) < 1e-6 for r in unseen) for m in lm.PRIORS)
+
+
+def test_a_context_with_over_a_million_successors():
+    rng = np.random.default_rng(4)
+    followers = np.unique(rng.integers(0, 1 << 64, 2_400_000, dtype=np.uint64))
+    known, absent = followers[::2], followers[1::2]
+    context = np.full(len(known), (1 << 64) - 5, np.uint64)
+    trie = lm.Trie(lm.Trie.of_pairs(context, known, np.full(len(known), 3)).words)
+    assert (lm.LEVELS[trie.look_up_pairs(context, known)] == 3).all()
+    assert not trie.look_up_pairs(context[: len(absent)], absent).any()
+    assert not trie.look_up_pairs(context - np.uint64(1), known).any()
+
+
+def test_pairs_of_a_hot_word_stay_apart():
+    n = 1_100_000
+    tally = lm.Tally.of([" ".join(f"hot w{i}" for i in range(n))], [True], 5)
+    # From the beginning, to each word, from each word, and to the end.
+    assert len(tally.pair_order) == tally.pair.max() + 1 == 2 * n + 1
