@@ -1,8 +1,8 @@
 """Log-probabilities of texts by a two-word model kept in Elias-Fano tries.
 
 Tokens are the lower-cased words of a text and one end.  Single words are counted exactly.  Pairs are held
-by tries, sharded by their first word, each first word spread over ``SLICES`` shards so that a frequent one
-is no hot spot.  A trie has these levels in one buffer of 64-bit words:
+by tries, sharded by both words, so that the pairs of a frequent first word are spread over all shards, as no
+shard needs its total.  A trie has these levels in one buffer of 64-bit words:
 
 * the contexts (64-bit hashes of first words), rising, in Elias-Fano code, and so the vocabulary of successors;
 * the pointers, rising, to where each context's successors begin;
@@ -46,7 +46,6 @@ FOLDS, FOLD = 7, 2
 BLOCK_BYTES = 6 << 20
 # Of pairs in one number, which only callers with small universes use.
 CONTEXT_BITS, SUCCESSOR_BITS = 36, 20
-SLICES = 16
 PRIORS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e5)
 # Outside the words, which have no white space.
 BEGIN, END = b" ", b"\n"
@@ -192,7 +191,7 @@ class Tally:
         numbered, pair = np.unique(before * len(hashes) + word, return_inverse=True)
         contexts, followers = hashes[numbered // len(hashes)], hashes[numbered % len(hashes)]
         word_shard = hashes % np.uint64(shards)
-        pair_shard = (contexts + followers % np.uint64(SLICES)) % np.uint64(shards)
+        pair_shard = (contexts + followers) % np.uint64(shards)
         edges = np.arange(shards + 1)
         word_order, pair_order = np.lexsort((hashes, word_shard)), np.lexsort((followers, contexts, pair_shard))
         return cls(

@@ -112,3 +112,10 @@ def test_pairs_of_a_hot_word_stay_apart():
     tally = lm.Tally.of([" ".join(f"hot w{i}" for i in range(n))], [True], 5)
     # From the beginning, to each word, from each word, and to the end.
     assert len(tally.pair_order) == tally.pair.max() + 1 == 2 * n + 1
+
+
+def test_a_hot_word_is_spread_over_all_shards():
+    tally = lm.Tally.of([" ".join(f"hot w{i}" for i in range(20_000))], [True], 100)
+    of_hot = tally.contexts[tally.pair_order] == tally.hashes[2]
+    sizes = np.array([of_hot[a:b].sum() for a, b in zip(tally.pair_cuts, tally.pair_cuts[1:])])
+    assert sizes.sum() == 20_000 and sizes.min() > 100 and sizes.max() < 400
