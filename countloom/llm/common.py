@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from countloom.workspace import shared_folder
 
@@ -29,6 +30,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _hashable(kind: DataType) -> bool:
+    """Maps and variants cannot be hashed or compared."""
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return _hashable(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
+def told_apart(docs: DataFrame, name: str) -> DataFrame:
+    """``(doc, row, all)``, written out: each row as one struct, so that no column of it can clash, a number of its
+    own, and a hash of its columns, maps left out."""
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if _hashable(f.dataType)]
+    return materialise(
+        docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"), F.xxhash64(*hashed).alias("all")), name
+    )
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents of ``told_apart`` rows but for those whose ``row`` is in ``gone``."""
+    return rows.join(gone.select("row"), "row", "left_anti").select("doc.*")
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null one as the empty string."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -50,7 +72,7 @@ SLICE_ROWS = 1000
 
 
 def with_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int | None = SLICE_ROWS
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, rows: int | None = SLICE_ROWS
 ) -> DataFrame:
     """``mapInArrow`` with a function from one batch of at most ``rows`` rows to one batch; empty ones are
     passed over."""

@@ -185,13 +185,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     """The columns ``keep`` with ``n_words``, ``hits`` (a bit per word, least significant first) and ``items``."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), text_of().alias("text"))
     out = packed.select("*", F.lit(0).cast("bigint").alias("n_words"), F.lit(b"").alias("hits"), F.array().cast("array<string>").alias("items"))
-    schema = f"row {packed.schema['row'].dataType.simpleString()}, text string, n_words bigint, hits binary, items array<string>"
     blocks = _blocks(benchmark, block_bytes) or [Windows([])]
     for block in blocks:
         block.order_by_rarity(_count_tokens(packed, block))
         # Only the next block still needs the text.
         needed = block is not blocks[-1]
-        out = with_batches(out, _marker(block, needed), schema if needed else schema.replace(" text string,", ""))
+        out = with_batches(out, _marker(block, needed), (out if needed else out.drop("text")).schema)
     return out.select("row.*", "n_words", "hits", "items")
 
 
@@ -245,8 +244,8 @@ def summary(found: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    found = contamination(docs, benchmark, tuple(docs.columns))
-    return found.where("size(items) = 0").select(docs.columns)
+    found = contamination(docs.select(F.struct("*").alias("doc"), "text"), benchmark, ("doc",))
+    return found.where("size(items) = 0").select("doc.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

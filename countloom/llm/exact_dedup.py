@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from countloom.llm.common import ascii_lower, materialise, table, text_of
+from countloom.llm.common import ascii_lower, materialise, table, text_of, told_apart, without
 
 PREFIX_CHARS = 64
 
@@ -71,14 +71,15 @@ def exact_dedup(
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group: that of the id kept, of several the least by a hash of all columns.
 
-    Rows are told apart by a number of their own, so null and repeated ids are dropped like any other.
+    Rows are told apart by a number of their own, so null and repeated ids are dropped like any other; columns may
+    have any name and type.
     """
-    rows = materialise(docs.withColumns({"_row": F.monotonically_increasing_id(), "_all": F.xxhash64(*docs.columns)}), "dedup-docs")
-    carry = {"row": F.col("_row"), "rank": F.struct("_all", "_row"), "digest": F.sha2(normal(), 256)}
-    copies = materialise(exact_dedup(rows, carry=carry).where("group_size > 1").select("kept", *carry), "dedup-copies")
-    stay = copies.where("kept").groupBy("digest").agg(F.min("rank").alias("least")).selectExpr("least._row AS row")
-    gone = materialise(copies.join(stay, "row", "left_anti").selectExpr("row AS _row"), "dedup-gone")
-    return rows.join(gone, "_row", "left_anti").select(docs.columns)
+    rows = told_apart(docs, "dedup-docs")
+    carry = {"row": F.col("row"), "rank": F.struct("all", "row"), "digest": F.sha2(normal("doc.text"), 256)}
+    copies = exact_dedup(rows, "doc.doc_id", "doc.text", carry).where("group_size > 1").select("kept", *carry)
+    copies = materialise(copies, "dedup-copies")
+    stay = copies.where("kept").groupBy("digest").agg(F.min("rank").alias("least")).selectExpr("least.row AS row")
+    return without(rows, materialise(copies.join(stay, "row", "left_anti").select("row"), "dedup-gone"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ loss on the difference of features.  The score is then cut at the quantile that
 training documents above it as are labelled good, and squashed so that the cut is at 0.5.
 
 The fit uses at most ``SAMPLE_ROWS`` labelled documents, taken by order of a hash, and ``PAIRS`` pairs per
-document of the smaller class; everything else sees every row.
+document of the larger class; everything else sees every row.
 
 Defined results: a null text is an empty one and gets the score of its features like any other; without
 labels of both classes the score is the share of good labels, 0.5 without any; a null id is held out;
@@ -112,15 +112,25 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS) -> Rankin
     return Ranking.fit(np.array([v for _, v in order]).reshape(-1, FEATURES), np.array([k for k, _ in order]))
 
 
-def with_quality(docs: DataFrame, ranking: Ranking, name: str = "score") -> DataFrame:
-    """``docs`` with a column ``name``; row by row, no shuffle."""
-    packed = docs.select(text_of().alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    row = packed.schema["row"].dataType.simpleString()
+def _scored(docs: DataFrame, ranking: Ranking) -> DataFrame:
+    """``(row, score)``: the document as one struct beside its score; row by row, no shuffle."""
+    packed = docs.select(text_of().alias("text"), F.struct("*").alias("row"))
+    schema = packed.select("row").withColumn("score", F.lit(0.0)).schema
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([batch.column("row"), pa.array(ranking.score(_matrix(batch)))], names=["row", "score"])
 
-    return with_batches(packed, work, f"row {row}, score double").select("row.*", F.col("score").alias(name))
+    return with_batches(packed, work, schema)
+
+
+def with_quality(docs: DataFrame, ranking: Ranking, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``."""
+    return _scored(docs, ranking).select("row.*", F.col("score").alias(name))
+
+
+def drop_poor(docs: DataFrame, ranking: Ranking) -> DataFrame:
+    """The rows of ``docs`` that the ranking takes for good; columns may have any name."""
+    return _scored(docs, ranking).where("score >= 0.5").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

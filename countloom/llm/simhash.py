@@ -15,7 +15,8 @@ The sample only shapes the tree: whatever it is, every pair is found.
 
 Defined results: a null text is an empty one; a text without words has fingerprint zero, which is linked
 like any other; documents with a null id belong to a class but do not name it; repeated rows are reported
-each; only ``doc_id`` and ``text`` are looked at.
+each; only ``doc_id`` and ``text`` are looked at, but for the choice between rows of one id in
+``drop_near_copies``.
 """
 
 from __future__ import annotations
@@ -28,9 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from xxhash import xxh64_intdigest
 
-from countloom.llm.common import materialise, table, text_of, with_batches
+from countloom.llm.common import materialise, table, text_of, told_apart, with_batches, without
 from countloom.llm.components import connected_components
-from countloom.llm.near_copies import drop_near_copies  # noqa: F401
 
 SHINGLE_WORDS, SEED, RADIUS = 3, 42, 2
 # Fingerprints that shape the tree; fingerprints aimed at per shard; fingerprints compared one by one.
@@ -49,14 +49,14 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)``, the fingerprint as a signed number."""
+def fingerprints(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, fp)``, the fingerprint of ``text`` as a signed number."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
-        return pa.record_batch([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+        return pa.record_batch([batch.column(key), pa.array(fps.view(np.int64))], names=[key, "fp"])
 
-    return with_batches(docs.select("doc_id", text_of().alias("text")), work, "doc_id bigint, fp bigint")
+    return with_batches(docs.select(key, text_of().alias("text")), work, f"{key} {docs.schema[key].dataType.simpleString()}, fp bigint")
 
 
 @dataclass
@@ -199,18 +199,37 @@ def _links(points: DataFrame) -> DataFrame:
     return sent.groupBy("shard").applyInArrow(look, "a bigint, b bigint")
 
 
+def _rooted(points: DataFrame) -> DataFrame:
+    """``points`` with ``root``, one fingerprint of the class of each distinct ``fp``; written out."""
+    roots = materialise(connected_components(_links(points)), "roots").withColumnRenamed("node", "fp")
+    return materialise(points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row."""
     marked = materialise(fingerprints(docs), "fingerprints")
-    points = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    roots = materialise(connected_components(_links(points)), "roots")
-    rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").selectExpr("fp", "least", "coalesce(root, fp) AS root")
-    rooted = materialise(rooted, "rooted")
+    rooted = _rooted(materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "points"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = materialise(rooted.join(named, "root").select("fp", "component_id"), "classes")
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each class: that of the least id, a null one only if there is no other, of several
+    the least by a hash of all columns.
+
+    Rows are told apart by a number of their own, so null and repeated ids are dropped like any other; columns may
+    have any name and type.
+    """
+    rows = told_apart(docs, "near-docs")
+    rank = F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").alias("id"), "all", "row")
+    marked = materialise(fingerprints(rows.select(rank.alias("rank"), F.col("doc.text").alias("text")), "rank"), "fingerprints")
+    rooted = _rooted(materialise(marked.groupBy("fp").agg(F.min("rank").alias("least")), "points"))
+    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).selectExpr("least.row AS row")
+    gone = marked.selectExpr("rank.row AS row").join(materialise(stay, "near-stay"), "row", "left_anti")
+    return without(rows, materialise(gone, "near-gone"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -3,7 +3,7 @@
 import corpus_pipeline as cp
 from conftest import SF_SMALL
 from countloom.llm import pieces
-from countloom.llm.common import table
+from countloom.llm.common import materialise, table
 from test_decontaminate import brute as contaminated
 from test_pieces import expect as encoded
 from test_simhash import expect as classes
@@ -33,3 +33,27 @@ def test_stage_by_stage(spark):
     assert set(kept["decontamination"]) == clean
     got = sorted(map(tuple, cp.run(spark, SF_SMALL).collect()), key=repr)
     assert got == encoded(pieces.encoder(pieces.default_model()), sorted(kept["decontamination"].items()))
+
+
+CLASHES = "row all doc score _score _row _all _sid rank kept items hits n_words fp text_a".split()
+
+
+def test_stages_keep_columns_of_any_name_and_type(spark):
+    given = table(spark, SF_SMALL, "documents")
+    wide = given.selectExpr("*", *(f"concat('{c}', doc_id) AS {c}" for c in CLASHES), "map('k', text) AS `a map`")
+    wide = materialise(wide, "wide")
+    for name, stage in cp.STAGES[:-1]:
+        plain, rich = stage(spark, given, SF_SMALL), stage(spark, wide, SF_SMALL)
+        assert rich.schema == wide.schema, name
+        kept = {r.doc_id for r in plain.collect()}
+        rows = rich.collect()
+        assert {r.doc_id for r in rows} == kept and len(rows) == len(kept)
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHES) and all(r["a map"] == {"k": r.text} for r in rows)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = table(spark, SF_SMALL, "documents").where("false")
+    for _, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, SF_SMALL)
+        assert docs.count() == 0
+    assert cp.STAGES[-1][1](spark, docs, SF_SMALL).count() == 0

@@ -95,3 +95,9 @@ def test_one_of_each_class_stays(spark, docs):  # noqa: F811
     base = " ".join(f"w{i}" for i in range(300))
     kept = s.drop_near_copies(docs([(3, base, "a"), (4, base, "b"), (5, "else wholly different text", "c")]))
     assert sorted(r.doc_id for r in kept.collect()) == [3, 5] and kept.columns == ["doc_id", "text", "row"]
+
+
+def test_dropping_null_and_repeated_ids(spark, docs):  # noqa: F811
+    rows = [(None, "a b c", "r"), (None, "a b c", "r"), (4, "x y z", "s"), (4, "x y z", "s"), (4, "unique text", "t"), (3, "X y z", "u")]
+    kept = s.drop_near_copies(docs(rows))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[4], rows[5]], key=repr)
