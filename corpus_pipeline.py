@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from countloom.llm import decontaminate, exact_dedup, near_copies, pieces, quality
+from countloom.llm import decontaminate, exact_dedup, pieces, quality, simhash
 from countloom.llm.common import materialise, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labelled ones among them, takes for good."""
     ranking = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.with_quality(docs, ranking, "_score").where("_score >= 0.5").select(docs.columns)
+    return quality.drop_poor(docs, ranking)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +23,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies (five-word shingles, Jaccard 0.8 or more) the document with the least id."""
-    return near_copies.drop_near_copies(docs)
+    """Of each class of near copies by fingerprints the document with the least id."""
+    return simhash.drop_near_copies(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
