@@ -10,6 +10,8 @@ from countloom.functions.hashing import Colouring
 HEAVY_VERTICES = 1 << 18
 # A vertex with no more edges than this is never split.
 PIECE_ROWS = 1 << 20
+# Counters of ``orient_by_cells``, and so the rows it broadcasts at most; a power of two.
+DEGREE_CELLS = 1 << 20
 
 
 def edge_count(edges: DataFrame) -> DataFrame:
@@ -17,9 +19,14 @@ def edge_count(edges: DataFrame) -> DataFrame:
     return edges.agg(F.count(F.lit(1)).alias("edges"))
 
 
+def canonical(edges: DataFrame) -> DataFrame:
+    """The edges as ``u < v``, without loops, copies included."""
+    return edges.where("u <> v").selectExpr("least(u, v) AS u", "greatest(u, v) AS v")
+
+
 def simplify(edges: DataFrame) -> DataFrame:
     """The simple undirected graph: each edge once, as ``u < v``, without loops."""
-    return edges.where("u <> v").selectExpr("least(u, v) AS u", "greatest(u, v) AS v").distinct()
+    return canonical(edges).distinct()
 
 
 def counted(edges: DataFrame) -> DataFrame:
@@ -87,6 +94,35 @@ def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     return both.selectExpr("least(a, b) AS lo", "greatest(a, b) AS hi")
 
 
+def orient_by_cells(simple: DataFrame, piece_rows: int = PIECE_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``orient`` without a shuffle of the edges: the order is by hashed degrees.  Columns of ``keep`` ride along.
+
+    Vertices are hashed to ``DEGREE_CELLS`` counters, which add up the degrees in them; those few rows are
+    broadcast.  A vertex ranks by its counter and then by its id, which is an order like any other, so each
+    triangle has one lowest vertex.  A vertex of degree ``d`` has under ``2 * edges / d`` neighbours that are as
+    heavy, and on average ``2 * edges / DEGREE_CELLS`` more that share a cell with such: for up to
+    ``DEGREE_CELLS^2 / 2`` edges its list is about as short as by true degrees.
+    """
+    simple = simple.where("u IS NOT NULL AND v IS NOT NULL")
+
+    def cell(vertex: str) -> str:
+        # Never null, so the look-ups imply no filter that would set the uses of the edges apart.
+        return f"(xxhash64({vertex}) & {DEGREE_CELLS - 1}L)"
+
+    ends = simple.selectExpr("explode(array(u, v)) AS vertex", *keep).selectExpr(f"{cell('vertex')} AS cell", *keep)
+    # Counted by what rides along, so that it is not pruned here and both uses of the edges stay alike.
+    counters = ends.groupBy("cell").agg(F.expr(f"count({', '.join(keep) or 1})").alias("degree"))
+    cap = f"greatest({piece_rows}L, CAST(sum(degree) OVER () / {HEAVY_VERTICES} AS BIGINT) + 1)"
+    told = F.broadcast(counters.selectExpr("cell", "degree", f"ceil(degree / {cap}) AS parts"))
+
+    def look_up(edges: DataFrame, vertex: str, name: str) -> DataFrame:
+        located = edges.withColumn("cell", F.expr(cell(vertex))).join(told, "cell")
+        return located.withColumn(name, F.expr(f"named_struct('degree', degree, 'id', {vertex}, 'parts', parts)")).drop("cell", "degree", "parts")
+
+    both = look_up(look_up(simple, "u", "a"), "v", "b")
+    return both.selectExpr("least(a, b) AS lo", "greatest(a, b) AS hi", *keep)
+
+
 def mono_edges(edges: DataFrame, colouring: Colouring) -> DataFrame:
     """``(colour, u, v)`` of the edges whose ends share a colour; a filter, so it runs in the scan."""
     return edges.where(f"{colouring.spark('u')} = {colouring.spark('v')}").selectExpr(

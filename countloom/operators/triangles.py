@@ -6,90 +6,133 @@ have in common.  So each vertex sends to each of its neighbours the part of its
 that follows it, and the two lists meet in one join and are intersected there.  A wedge is eight
 bytes of such a list and never a row, and one exchange carries them all.
 
-Skew: a list holds at most ``sqrt(2 * edges)`` ids (see ``orient``).  Lists sent to a heavy vertex are
-spread over its pieces, its own short list being repeated for each.  A list of ``n`` ids is sent as
-``n * n / 2`` ids, so it is dealt out in blocks of ``SENT_BLOCK`` positions to several tasks, each of which
-gets the whole list and sends only from its block.
+No row holds more than a chunk of a list.  A list is ranked by a window, which spills, and gathered in chunks
+of ``CHUNK`` ids.  A chunk sends its later ids to its earlier ones; two chunks of one list meet by their
+numbers, and the later one is sent to all ids of the earlier.  A chunk that arrives is intersected with those
+chunks of the receiver whose range of ranks it overlaps, so two long lists meet like two sorted runs.
+
+Skew: a list holds at most ``sqrt(2 * edges)`` ids (see ``orient``), and is sent as ``n * n / 2`` ids by as many
+tasks as it has pairs of chunks.  Lists sent to a heavy vertex are spread over its pieces, its own short list
+being repeated for each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from countloom.functions.hashing import Colouring, EdgePartitioning, indexed_hash
-from countloom.operators.graph import PIECE_ROWS, mono_edges, orient, simplify, triple_key
+from countloom.operators.graph import PIECE_ROWS, canonical, mono_edges, orient, orient_by_cells, simplify, triple_key
 
-# So many positions of a list are sent by one task; it sends under this many times the longest list.
-SENT_BLOCK = 4096
+# Ids in a chunk of a list.
+CHUNK = 4096
+# Runs that share a mask, one bit each.
+MASK_RUNS = 64
+NO_IDS = "CAST(array() AS ARRAY<BIGINT>)"
 
 
-def closed(oriented: DataFrame, group: str | None = None, owner: Colouring | None = None, block: int | None = None) -> DataFrame:
-    """``([group,] triangles)`` per edge: triangles whose three edges lie in one group.
+def closed(
+    oriented: DataFrame, group: str | None = None, owner: Colouring | None = None, masked: bool = False, chunk: int | None = None
+) -> DataFrame:
+    """``([group,] triangles)`` per edge and pair of chunks: triangles whose three edges lie in one group.
 
     ``oriented`` has ``lo`` and ``hi`` as ``orient`` gives them, and the ``group`` column if named.
     With ``owner``, the groups are colour triples, packed into ``group``: each edge goes to every triple with
     its two colours, and the last vertex must have the colour that the other two leave of the triple for
-    the triangle to belong to it.
+    the triangle to belong to it.  With ``masked``, ``oriented`` has ``block`` and ``mask`` instead of the group,
+    and an edge belongs to the group ``block * MASK_RUNS + i`` for each bit ``i`` of its mask.
     """
     keys = [group] if group else []
-    own_keys = [] if owner else keys
-    step = block or SENT_BLOCK
-    gathered = (
-        oriented.selectExpr(*own_keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi")
-        .where(" AND ".join(f"{key} IS NOT NULL" for key in (*own_keys, "lo", "lo_parts")))
-        .groupBy(*own_keys, "lo", "lo_parts")
-        .agg(F.sort_array(F.collect_list("hi")).alias("above"))
+    own_keys, also = (["block"], ["mask"]) if masked else ([] if owner else keys, [])
+    step = chunk or CHUNK
+    rows = oriented.selectExpr(*own_keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi", *also).where(
+        " AND ".join(f"{key} IS NOT NULL" for key in (*own_keys, "lo", "lo_parts"))
+    )
+    ranks = Window.partitionBy(*own_keys, "lo").orderBy("hi")
+    whole = ranks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = rows.select(
+        "*",
+        ((F.row_number().over(ranks) - 1) / step).cast("int").alias("chunk"),
+        F.ceil(F.count(F.lit(1)).over(whole) / step).cast("int").alias("chunks"),
+    )
+    gathered = ranked.groupBy(*own_keys, "lo", "lo_parts", "chunk", "chunks").agg(
+        F.sort_array(F.collect_list(F.struct("hi", *also))).alias("above")
     )
     if owner:
         gathered = _per_triple_lists(gathered, group, owner)
-    # The lists are used twice, and gathering, sorting and the exchange over them are done once as long as
-    # both uses are alike to the optimizer: each reads every column, ids and pieces are one array, and
+    elif masked:
+        gathered = _per_run_lists(gathered, group)
+    # The lists are used three times, and gathering, sorting and the exchange over them are done once as long as
+    # all uses are alike to the optimizer: each reads every column, all that a list carries is one array, and
     # rows are left out behind a generator, since a filter would move below the exchange.
     lists = gathered.selectExpr(
-        *keys, "lo", "lo_parts", "size(above) AS n",
-        # Pieces follow the ids where any vertex has several.
-        "CASE WHEN array_max(above.parts) > 1 THEN concat(above.id, above.parts) ELSE above.id END AS packed",
-        f"explode(sequence(0, (size(above) - 1) div {step})) AS block",
-    ).repartition(*keys, "lo", "block")
-    sent = (
-        lists.selectExpr(
-            *keys, "lo", "lo_parts", "block", "packed", "n",
-            f"posexplode_outer(slice(packed, int(block * {step} + 1), least({step}, n - int(block * {step})))) AS (at, mid)",
-        )
-        .selectExpr(*keys, "lo", "lo_parts", "packed", "n", "mid", f"int(block * {step} + at) AS at")
-        .where("at + 1 < n")
-        .selectExpr(
-            *keys,
-            "mid",
-            "pmod(xxhash64(lo), coalesce(try_element_at(packed, n + at + 1), 1L + 0L * lo_parts)) AS piece",
-            "slice(packed, at + 2, n - at - 1) AS candidates",
-            *([f"{_left_of_triple(group, owner, 'lo', 'mid')} AS third"] if owner else []),
-        )
+        *keys, "lo", "lo_parts", "chunk", "chunks", "size(above) AS n",
+        # Ids; of a list of several chunks, its first and its last rank; pieces, where any vertex has several.
+        f"""concat(above.hi.id,
+            CASE WHEN chunks > 1 THEN array(above[0].hi.degree, above[0].hi.id, above[size(above) - 1].hi.degree, above[size(above) - 1].hi.id)
+                ELSE {NO_IDS} END,
+            CASE WHEN array_max(above.hi.parts) > 1 THEN above.hi.parts ELSE {NO_IDS} END) AS packed""",
+    ).repartition(*keys, "lo", "chunk")
+
+    def sends(df: DataFrame, ids: str, span: str) -> DataFrame:
+        """To each ``(at, mid)`` of a chunk ``(n, packed)``, ``ids`` of the chunk of ``span``."""
+        return df.selectExpr(
+            *keys, "lo", "mid",
+            "pmod(xxhash64(lo), coalesce(try_element_at(packed, n + at + IF(chunks > 1, 5, 1)), 1L + 0L * lo_parts)) AS piece",
+            f"{ids} AS candidates",
+            f"CASE WHEN chunks > 1 THEN {span} END AS span",
+        )
+
+    columns = [*keys, "lo", "lo_parts", "chunk", "chunks", "n", "packed"]
+    within = lists.selectExpr(*columns, "posexplode_outer(slice(packed, 1, n)) AS (at, mid)").where("at + 1 < n")
+    others = "filter(sequence(0, chunks - 1), y -> y <> chunk)"
+    dealt = lists.selectExpr(
+        *columns, f"explode_outer(CASE WHEN chunks > 1 THEN transform({others}, y -> struct(least(y, chunk) AS a, greatest(y, chunk) AS b)) END) AS pair"
+    ).where("pair IS NOT NULL")
+    met = dealt.groupBy(*keys, "lo", "lo_parts", "chunks", "pair").agg(F.sort_array(F.collect_list(F.struct("chunk", "n", "packed"))).alias("two"))
+    between = met.where("size(two) = 2").selectExpr(
+        *keys, "lo", "lo_parts", "chunks", "two[0].n AS n", "two[0].packed AS packed", "two[1].n AS later_n", "two[1].packed AS later",
+        "posexplode(slice(two[0].packed, 1, two[0].n)) AS (at, mid)",
+    )
+    sent = sends(within, "slice(packed, at + 2, n - at - 1)", "slice(packed, n + 1, 4)").unionByName(
+        sends(between, "slice(later, 1, later_n)", "slice(later, later_n + 1, 4)")
     )
-    own = lists.selectExpr(
-        *keys, "lo AS mid", "n", "packed", "explode_outer(CASE WHEN block = 0 THEN sequence(0L, lo_parts - 1) END) AS piece"
-    ).where("piece IS NOT NULL").selectExpr(*keys, "mid", "piece", "slice(packed, 1, n) AS ids")
+    own = (
+        lists.selectExpr(*keys, "lo AS mid", "n", "packed", "chunks", "explode_outer(sequence(0L, lo_parts - 1)) AS piece")
+        .where("piece IS NOT NULL")
+        .selectExpr(*keys, "mid", "piece", "slice(packed, 1, n) AS ids", "CASE WHEN chunks > 1 THEN slice(packed, n + 1, 4) END AS own_span")
+    )
+    apart = "struct(span[2], span[3]) < struct(own_span[0], own_span[1]) OR struct(own_span[2], own_span[3]) < struct(span[0], span[1])"
+    joined = sent.join(own, [*keys, "mid", "piece"]).where(f"span IS NULL OR own_span IS NULL OR NOT ({apart})")
     # The second argument is the one that gets hashed; on average it is the shorter.
     common = "array_intersect(ids, candidates)"
     if owner:
-        common = f"filter({common}, w -> {owner.spark('w')} = third)"
-    return sent.join(own, [*keys, "mid", "piece"]).selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")
+        common = f"filter({common}, w -> {owner.spark('w')} = {_left_of_triple(group, owner, 'lo', 'mid')})"
+    return joined.selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")
+
+
+def _per_run_lists(gathered: DataFrame, group: str) -> DataFrame:
+    """Each chunk in parts, one per run that any of its edges belongs to.  Edges are gathered once for all runs."""
+    seen = gathered.selectExpr("*", "aggregate(above.mask, 0L, (m, x) -> m | x) AS seen")
+    parted = seen.selectExpr("*", f"explode(filter(sequence(0, {MASK_RUNS - 1}), i -> getbit(seen, i) = 1)) AS bit")
+    return parted.selectExpr(
+        f"block * {MASK_RUNS} + bit AS {group}", "lo", "lo_parts", "chunk", "chunks", "filter(above, h -> getbit(h.mask, bit) = 1) AS above"
+    )
 
 
 def _per_triple_lists(gathered: DataFrame, group: str, colouring: Colouring) -> DataFrame:
-    """Each list in parts, one per triple that its edges belong to: for colours ``x <= y`` beside that of ``lo``,
+    """Each chunk in parts, one per triple that its edges belong to: for colours ``x <= y`` beside that of ``lo``,
     the neighbours of either colour.  So edges are gathered once and only lists are replicated."""
     last = colouring.colours - 1
     coloured = gathered.selectExpr(
-        "lo",
-        "lo_parts",
+        "*",
         f"{colouring.spark('lo')} AS a",
-        f"transform(above, h -> struct(h.id AS id, h.parts AS parts, {colouring.spark('h.id')} AS colour)) AS above",
+        f"transform(above, h -> struct(h.hi AS hi, {colouring.spark('h.hi.id')} AS colour)) AS coloured",
     )
     paired = coloured.selectExpr("*", f"explode(sequence(0L, {last}L)) AS x").selectExpr("*", f"explode(sequence(x, {last}L)) AS y")
     return paired.selectExpr(
-        f"{triple_key(colouring, 'a', 'x', 'y')} AS {group}", "lo", "lo_parts", "filter(above, h -> h.colour = x OR h.colour = y) AS above"
-    ).where("size(above) > 0")
+        f"{triple_key(colouring, 'a', 'x', 'y')} AS {group}", "lo", "lo_parts", "chunk", "chunks",
+        "filter(coloured, h -> h.colour = x OR h.colour = y) AS above",
+    ).where("size(above) > 0")
 
 
 def _left_of_triple(key: str, colouring: Colouring, u: str, v: str) -> str:
@@ -158,7 +201,7 @@ def triangles_node_colour(edges: DataFrame, colouring: Colouring, piece_rows: in
     """
     c = colouring.colours
     survivors = mono_edges(simplify(edges), colouring).select("u", "v")
-    local = closed(orient(survivors, piece_rows)).selectExpr(f"{_sum('triangles')} AS local")
+    local = closed(orient_by_cells(survivors, piece_rows)).selectExpr(f"{_sum('triangles')} AS local")
     return local.selectExpr(f"{c} AS colours", "local", f"{c * c}L * local AS estimate")
 
 
@@ -167,10 +210,11 @@ def triangles_edge_partition(
 ) -> DataFrame:
     """``(partitions, local, estimate)``: triangles within one edge partition, scaled likewise.
 
-    Partitions are a hash of the simple edge, so copies of an edge cannot fall into several.
+    Partitions are a hash of the simple edge, so copies of an edge cannot fall into several.  They need nothing of
+    each other but the hashed degrees: lists are gathered, sent and intersected per partition.
     """
     n = parts.partitions
-    oriented = orient(_simple(edges, is_simple), piece_rows)
+    oriented = orient_by_cells(_simple(edges, is_simple), piece_rows)
     ends = "least(lo.id, hi.id)", "greatest(lo.id, hi.id)"
     local = closed(oriented.selectExpr("lo", "hi", f"{parts.spark(*ends)} AS part"), "part")
     return local.selectExpr(f"{_sum('triangles')} AS local").selectExpr(
@@ -183,26 +227,29 @@ def triangle_runs(
 ) -> DataFrame:
     """``(run, estimate)``: one estimate per colouring, all in a single job.
 
-    An edge goes to the runs that give its ends one colour; edges of no run are dropped in the scan.
+    An edge carries a mask, a bit for each run that gives its ends one colour; edges of no run are dropped in the
+    scan, and masks are put together where copies of an edge are folded.  All runs share one orientation and one
+    gathering; then a list is split by the bits of its edges.  Work grows by runs over ``colours^2``, at which
+    the runs cost as much as an exact count.
     """
     if not colourings:
         raise ValueError("at least one run is needed")
     colours = {c.colours for c in colourings}
     if len(colours) > 1:
         raise ValueError("all runs must use the same number of colours")
-    scale = colours.pop() ** 2
+    colour_count = colours.pop()
 
     # The plan does not grow with the runs: their coefficients are one array, gone through by position.
     degree = max(len(c.hash.coefs) for c in colourings)
     table = f"array({', '.join(c.hash.spark_row(degree) for c in colourings)})"
-
-    def alike(u: str, v: str) -> str:
-        return f"({indexed_hash(u, 'c', degree)} % {colourings[0].colours}) = ({indexed_hash(v, 'c', degree)} % {colourings[0].colours})"
-
-    kept = _simple(edges, is_simple).where(f"exists({table}, c -> {alike('u', 'v')})")
-    runs = orient(kept, piece_rows).selectExpr("lo", "hi", f"posexplode({table}) AS (at, c)").where(alike("lo.id", "hi.id"))
-    per_run = runs.selectExpr("lo", "hi", "CAST(at AS BIGINT) AS run")
-    return _dense(closed(per_run, "run"), "run", len(colourings)).selectExpr("run", f"{scale}L * triangles AS estimate")
+    u, v = (f"{indexed_hash(x, 'c', degree)} % {colour_count}" for x in ("u", "v"))
+    # Distinct edges and their masks come from one aggregation, folded in the map tasks first.
+    alike = (edges if is_simple else canonical(edges)).selectExpr("u", "v", f"posexplode({table}) AS (run, c)").where(f"{u} = {v}")
+    # ``run div MASK_RUNS``, in a form that is never null, so that no test for null sets the uses of the edges apart.
+    block = F.expr("shiftright(run, 6)").cast("bigint").alias("block")
+    masked = alike.groupBy("u", "v", block).agg(F.bit_or(F.expr(f"shiftleft(1L, run & {MASK_RUNS - 1})")).alias("mask"))
+    counts = closed(orient_by_cells(masked, piece_rows, ("block", "mask")), "run", masked=True)
+    return _dense(counts, "run", len(colourings)).selectExpr("run", f"{colour_count**2}L * triangles AS estimate")
 
 
 def median_of_runs(runs: DataFrame) -> DataFrame:

@@ -68,22 +68,20 @@ def test_heavy_vertices_in_pieces(edges, seed, piece_rows):
 
 
 @pytest.mark.parametrize("block", [1, 2, 5])
-def test_long_lists_are_sent_in_blocks(edges, monkeypatch, block):
+def test_long_lists_are_kept_in_chunks(edges, monkeypatch, block):
     """A clique makes long lists, a star a heavy vertex beside it."""
     graph = complete(12) + [(1, x) for x in range(100, 140)] + [(100 + i, 101 + i) for i in range(0, 38, 2)]
-    monkeypatch.setattr(tr, "SENT_BLOCK", block)
+    monkeypatch.setattr(tr, "CHUNK", block)
     triangles = brute_force(graph)
     for piece_rows in (1, 4, 1 << 20):
         assert scalar(tr.triangles_exact(edges(*graph), piece_rows)) == len(triangles)
     assert scalar(tr.triangles_colour_triple(edges(*graph), Colouring.seeded(3, 4), 2)) == len(triangles)
 
 
-def test_lists_are_gathered_once(spark):
-    plan = tr.triangles_exact(w.part_supplier(spark, SF_SMALL))
-    plan.collect()
-    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    # Once before and once after its exchange; the plan that ran names the second one twice.
-    assert "ReusedExchange" in final and final.count("partial_collect_list(hi") == 1
+def executed(df):
+    """The plan that ran, without the one that was planned at first."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 def test_colours_without_a_vertex_have_a_row(edges):
@@ -225,3 +223,63 @@ def test_bad_parameters(edges):
         tr.triangle_runs(df, [])
     with pytest.raises(ValueError):
         tr.triangle_runs(df, [Colouring.seeded(2, 1), Colouring.seeded(3, 1)])
+
+
+def parts_of(graph, parts):
+    """Triangles of each edge partition, summed."""
+    groups = {}
+    for u, v in {(min(e), max(e)) for e in graph if e[0] != e[1]}:
+        groups.setdefault(parts(u, v), []).append((u, v))
+    return sum(len(brute_force(g)) for g in groups.values())
+
+
+@pytest.mark.parametrize("cells", [1, 4, 1 << 20])
+def test_any_cells_give_the_same_estimates(edges, spark, monkeypatch, cells):
+    """One cell ranks all vertices by id, a few mix heavy and light ones."""
+    monkeypatch.setattr(gr, "DEGREE_CELLS", cells)
+    graph = random_graph(4) + [(1, x) for x in range(200, 260)]
+    df = edges(*graph)
+    for piece_rows in (2, 1 << 20):
+        colouring, split = Colouring.seeded(2, 3), EdgePartitioning.seeded(2, 3)
+        mono = sum(len({colouring.value(x) for x in t}) == 1 for t in brute_force(graph))
+        assert tr.triangles_node_colour(df, colouring, piece_rows).first().local == mono
+        part = {(r.u, r.v): r.p for r in gr.simplify(df).selectExpr("u", "v", f"{split.spark('u', 'v')} AS p").collect()}
+        assert tr.triangles_edge_partition(df, split, piece_rows).first().local == parts_of(graph, lambda u, v: part[u, v])
+        assert scalar(tr.triangle_runs(df, [colouring], piece_rows).select("estimate")) == 4 * mono
+
+
+def test_a_hundred_runs_are_one_plan(edges):
+    graph = random_graph(8)
+    triangles = brute_force(graph)
+    colourings = run_colourings(3, 100, 7)
+    expected = {run: 9 * sum(len({c.value(x) for x in t}) == 1 for t in triangles) for run, c in enumerate(colourings)}
+    plan = tr.triangle_runs(edges(*graph), colourings)
+    few = tr.triangle_runs(edges(*graph), colourings[:5])
+    nodes = [len(p._jdf.queryExecution().executedPlan().treeString().splitlines()) for p in (plan, few)]
+    assert nodes[0] == nodes[1] and dict(pairs(plan)) == expected
+
+
+@pytest.mark.parametrize("chunk", [1, 3])
+def test_no_row_holds_more_than_a_chunk(edges, monkeypatch, chunk):
+    """Two long lists with little in common, a clique, and a star, in estimates and by groups too."""
+    monkeypatch.setattr(tr, "CHUNK", chunk)
+    graph = complete(9) + [(100, x) for x in range(200, 230, 2)] + [(101, x) for x in range(200, 230, 3)] + [(100, 101)]
+    graph += [(1, x) for x in range(300, 320)]
+    triangles = brute_force(graph)
+    df = edges(*graph)
+    colouring = Colouring.seeded(2, 3)
+    mono = sum(len({colouring.value(x) for x in t}) == 1 for t in triangles)
+    assert scalar(tr.triangles_exact(df, 5)) == len(triangles)
+    assert scalar(tr.triangle_runs(df, [colouring], 5).select("estimate")) == 4 * mono
+    per_triple = tr.triangles_per_triple(df, Colouring.seeded(3, 1), 5).collect()
+    assert sum(r.triangles for r in per_triple) == len(triangles)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["triangles_exact", "triangles_edge_partition", "triangles_node_colour", "triangles_per_colour", "triangle_runs", "triangles_colour_triple"],
+)
+def test_the_table_is_scanned_once_and_lists_are_gathered_once(spark, name):
+    """The uses of the edges, and of the lists, are alike to the optimizer, so each is computed for one only."""
+    plan = executed(w.QUERIES[name](spark, SF_SMALL))
+    assert plan.count("FileScan") == 1 and plan.count("Window [row_number()") == 1 and "ReusedExchange" in plan
