@@ -108,19 +108,42 @@ def _last_batch(totals: DataFrame, threshold: Column) -> DataFrame:
     return within.where(F.col("before") < threshold).agg(F.max("batch").alias("batch"))
 
 
+def batch_tallies(items: DataFrame, left: int, right: int) -> DataFrame:
+    """``(batch, item, n)``: ``tally`` per batch, items without a batch under the least number."""
+    ranged = items.selectExpr(f"{_BATCH} AS batch", f"CASE WHEN item BETWEEN {left} AND {right} THEN item END AS item")
+    return ranged.groupBy("batch", "item").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _limit(totals: DataFrame, threshold: int | Column, share: int | None) -> Column:
+    """``threshold``, or that many thousandths of all items."""
+    if share is not None:
+        return totals.agg(F.expr(f"coalesce(sum(n), 0L) * {share} div 1000")).scalar()
+    return threshold if isinstance(threshold, Column) else F.lit(threshold)
+
+
+def prefix_tally(tallies: DataFrame, threshold: int | Column = DEFAULT_THRESHOLD, share: int | None = None) -> DataFrame:
+    """``(item, n)`` over the batches of ``stream_prefix``, from ``batch_tallies``.
+
+    The items are read once: batch totals and the cut both come from the one exchange under the tallies, which
+    holds a row per batch and item.
+    """
+    # Both uses are written in terms of the counts, so that no test moves below that exchange and sets one apart.
+    totals = tallies.groupBy("batch").agg(F.sum("n").alias("n")).withColumn("block", F.expr(f"CASE WHEN n > 0 THEN batch div {BATCH_BLOCK} END"))
+    last = _last_batch(totals, _limit(totals, threshold, share)).scalar()
+    kept = tallies.where(F.when(F.col("n") > 0, F.col("batch") <= last))
+    return kept.groupBy("item").agg(F.sum("n").alias("n"))
+
+
 def stream_prefix(items: DataFrame, threshold: int | Column = DEFAULT_THRESHOLD, share: int | None = None) -> DataFrame:
     """The items of whole batches, in order of ``batch_id``, taken while the count before them is below
     ``threshold``; the total may exceed it by up to one batch.
 
     Items without a batch are the first batch.  Batches that qualify come before all others, so the cut is
     one comparison on ``batch_id``.  ``threshold`` may be a one-row subquery (``DataFrame.scalar``); with
-    ``share`` it is that many thousandths of all items, taken from the same batch totals.
+    ``share`` it is that many thousandths of all items, taken from the same batch totals.  Where only
+    frequencies are wanted, ``prefix_tally`` reads the items once instead of twice.
     """
     # The test is one that the join on blocks implies; said here, it holds for every use of the totals, and the
     # exchange under them is computed once.
     totals = batch_totals(items).withColumn("block", F.expr(f"batch div {BATCH_BLOCK}")).where("block IS NOT NULL")
-    if share is not None:
-        limit = totals.agg(F.expr(f"coalesce(sum(n), 0L) * {share} div 1000")).scalar()
-    else:
-        limit = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    return items.where(F.expr(_BATCH) <= _last_batch(totals, limit).scalar())
+    return items.where(F.expr(_BATCH) <= _last_batch(totals, _limit(totals, threshold, share)).scalar())

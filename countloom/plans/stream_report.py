@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from countloom.operators.frequency import kth_frequency, stream_length, tally, topk_ties
+from countloom.operators.frequency import DEFAULT_THRESHOLD, batch_tallies, kth_frequency, prefix_tally, stream_length, tally, topk_ties
 from countloom.operators.sketch import CountSketch, average_error, relative_errors
 
 
@@ -54,9 +54,21 @@ def report(freq: DataFrame, length: DataFrame, sketch: CountSketch, left: int, r
     )
 
 
-def stream_report(items: DataFrame, sketch: CountSketch, left: int, right: int, k: int) -> DataFrame:
-    """``report`` of items at rest: length and frequencies from one tally, and so one pass."""
-    counts = tally(items, left, right)
+def _report_of_tally(counts: DataFrame, sketch: CountSketch, left: int, right: int, k: int) -> DataFrame:
     # In terms of the count, so that the test stays above the exchange, which is then the same for both.
     freq = counts.where("CASE WHEN n > 0 THEN item IS NOT NULL END")
     return report(freq, stream_length(counts), sketch, left, right, k)
+
+
+def stream_report(items: DataFrame, sketch: CountSketch, left: int, right: int, k: int) -> DataFrame:
+    """``report`` of items at rest: length and frequencies from one tally, and so one pass."""
+    return _report_of_tally(tally(items, left, right), sketch, left, right, k)
+
+
+def prefix_report(
+    items: DataFrame, sketch: CountSketch, left: int, right: int, k: int, threshold: int | Column = DEFAULT_THRESHOLD,
+    share: int | None = None,
+) -> DataFrame:
+    """``report`` of the bounded prefix of ``(item, batch_id)``, also in one pass over the items."""
+    counts = prefix_tally(batch_tallies(items, left, right), threshold, share)
+    return _report_of_tally(counts, sketch, left, right, k)

@@ -1,9 +1,10 @@
 """Exact counting of a stream up to a threshold, by a ledger of batches.
 
-Each batch leaves its own tally in a folder named by its number.  A batch that runs again overwrites it, so
-nothing counts twice; a batch that begins at or past the threshold leaves nothing, so the ledger never
-holds more than it should, however late the query stops.  The ledger lies inside its checkpoint: batch
-numbers belong to a checkpoint, so a new one has a new ledger.
+Each batch leaves its own tally, and the length of the stream before it stands beside it in the manifest of a
+``BatchStore``.  A batch that runs again overwrites its tally, so nothing counts twice; a batch that begins
+at or past the threshold leaves nothing, so the ledger never holds more than it should, however late the query
+stops.  Old tallies are folded into one.  The ledger lies inside its checkpoint: batch numbers belong to a
+checkpoint, so a new one has a new ledger.
 """
 
 from __future__ import annotations
@@ -12,46 +13,44 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from countloom.operators.frequency import DEFAULT_THRESHOLD, tally
+from countloom.streaming.store import FOLD_BATCHES, BatchStore
+
+
+def _summed(tallies: DataFrame) -> DataFrame:
+    return tallies.groupBy("item").agg(F.sum("n").alias("n"))
 
 
 class BatchLedger:
-    """``ledger/batch=N`` holds ``(item, n)``, items outside the range as one row of item NULL."""
+    """Tallies ``(item, n)`` per batch, items outside the range as one row of item NULL."""
 
-    def __init__(self, spark: SparkSession, checkpoint: str, left: int, right: int, threshold: int = DEFAULT_THRESHOLD):
+    def __init__(
+        self, spark: SparkSession, checkpoint: str, left: int, right: int, threshold: int = DEFAULT_THRESHOLD,
+        fold_every: int = FOLD_BATCHES,
+    ):
         if threshold < 1:
             raise ValueError("threshold must be at least 1")
-        self.spark = spark
         self.checkpoint = checkpoint
-        self.path = f"{checkpoint}/ledger"
         self.left = left
         self.right = right
         self.threshold = threshold
-        # The opening entry, so that an empty stream has a ledger too.
-        spark.range(0, 0, 1, 1).selectExpr("id AS item", "id AS n").write.mode("overwrite").parquet(f"{self.path}/batch=-1")
-        # The last batch, and the length of the stream before and after it.
-        last = self.tallies().agg(F.max("batch")).first()[0]
-        self._last: int = -1 if last is None else last
-        self._before = self._length_before(self._last)
-        self.seen: int = self._length_before(self._last + 1)
+        self.store = BatchStore(spark, f"{checkpoint}/ledger", "item BIGINT, n BIGINT", _summed, fold_every)
 
-    def _length_before(self, batch_id: int) -> int:
-        return self.tallies().where(F.col("batch") < batch_id).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    @property
+    def seen(self) -> int:
+        """The length of the stream so far."""
+        return self.store.seen
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """For ``foreachBatch``: one pass over the batch, which also tells its length."""
-        if batch_id > self._last:
-            before = self.seen
-        elif batch_id == self._last:
-            before = self._before
-        else:
-            before = self._length_before(batch_id)
+        if self.store.folded(batch_id):
+            return
+        before = self.store.before.get(batch_id, self.seen)
         if before >= self.threshold:
             return
         length = Observation()
         counted = tally(batch, self.left, self.right).observe(length, F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        counted.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-        if batch_id >= self._last:
-            self._last, self._before, self.seen = batch_id, before, before + length.get["n"]
+        counted.write.mode("overwrite").parquet(self.store.path_of(batch_id))
+        self.store.commit(batch_id, before, length.get["n"])
 
     @property
     def reached(self) -> bool:
@@ -78,12 +77,12 @@ class BatchLedger:
             raise query.exception()
 
     def tallies(self) -> DataFrame:
-        """``(batch, item, n)`` of all batches counted."""
-        return self.spark.read.schema("batch BIGINT, item BIGINT, n BIGINT").parquet(self.path)
+        """``(batch, item, n)`` of all batches counted; those that have been folded are one."""
+        return self.store.read()
 
     def freq(self) -> DataFrame:
         """``(item, n)`` of the items in range."""
-        return self.tallies().where("item IS NOT NULL").groupBy("item").agg(F.sum("n").alias("n"))
+        return _summed(self.tallies().where("item IS NOT NULL"))
 
     def length(self) -> DataFrame:
         """One row: the stream length, items outside the range included."""

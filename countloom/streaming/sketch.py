@@ -7,32 +7,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from countloom.operators.frequency import in_range
 from countloom.operators.sketch import CountSketch, merge
+from countloom.streaming.store import FOLD_BATCHES, BatchStore
+
+
+def _latest(counters: DataFrame) -> DataFrame:
+    return counters.groupBy("row", "bucket").agg(F.max_by("c", "batch").alias("c"))
 
 
 class SketchTable:
-    """The latest counters of a streaming sketch, at ``path``.
+    """The counters of a streaming sketch, at ``path``.
 
-    Batches write to two slots in turn, so one whole version exists at any moment, and a replayed
-    batch overwrites its own.  ``open`` leaves an empty version, which a stream without a batch keeps.
+    A batch writes only the counters that it changed, with their new values; the latest value of each counts.
+    The deltas are kept in a ``BatchStore``, which folds them from time to time, so a reader sees at most
+    ``fold_every`` of them beside one whole sketch, and a replayed batch overwrites its own.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
+    def __init__(self, spark: SparkSession, path: str, fold_every: int = FOLD_BATCHES):
+        self.store = BatchStore(spark, path, "row INT, bucket BIGINT, c BIGINT", _latest, fold_every)
 
-    def open(self) -> None:
-        empty = self.spark.range(0, 0, 1, 1).selectExpr("CAST(id AS INT) AS row", "id AS bucket", "id AS c", "id AS version")
-        empty.write.mode("overwrite").parquet(f"{self.path}/slot=-1")
-
-    def write(self, counters: DataFrame, batch_id: int) -> None:
-        slot = f"{self.path}/slot={batch_id % 2}"
-        counters.withColumn("version", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(slot)
+    def write(self, changed: DataFrame, batch_id: int) -> None:
+        """For ``foreachBatch`` in update mode."""
+        if not self.store.folded(batch_id):
+            changed.select("row", "bucket", "c").write.mode("overwrite").parquet(self.store.path_of(batch_id))
+            self.store.commit(batch_id)
 
     def read(self) -> DataFrame:
-        """``(row, bucket, c)``, for use once the query has stopped."""
-        versions = self.spark.read.schema("row INT, bucket BIGINT, c BIGINT, version BIGINT").parquet(self.path)
-        latest = versions.agg(F.max("version")).scalar()
-        return versions.where(F.col("version") == latest).select("row", "bucket", "c")
+        """``(row, bucket, c)`` as of the last batch written."""
+        return _latest(self.store.read())
 
 
 def start_sketch(
@@ -41,13 +42,16 @@ def start_sketch(
     """Keep ``table`` at the sketch of all in-range items of ``stream`` so far.
 
     The state store holds at most ``depth * width`` counters.  Each task folds its items into that many
-    before the shuffle, and the checkpoint makes each item count once.  ``trigger`` is passed on, by
-    default ``processingTime="100 milliseconds"``.
+    before the shuffle, the checkpoint makes each item count once, and a batch writes at most ``depth`` counters per
+    different item in it.  ``trigger`` is passed on, by default ``processingTime="100 milliseconds"``.
+
+    With many counters, let the state store write changes only: set
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider and
+    ``spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled`` to true before the start.
     """
-    table.open()
     counters = merge(sketch.updates(in_range(stream, left, right)).withColumnRenamed("delta", "c"))
     return (
-        counters.writeStream.outputMode("complete")
+        counters.writeStream.outputMode("update")
         .foreachBatch(table.write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "100 milliseconds"}))

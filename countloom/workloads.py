@@ -256,7 +256,7 @@ QUERIES: dict[str, Query] = {
         sk.average_error(stream_report.topk_estimates(value_freq(s, d), SKETCH, TOP_K)), "avg_error"
     ),
     "stream_report": lambda s, d: rounded(
-        stream_report.stream_report(value_prefix(s, d), SKETCH, *VALUE_RANGE, TOP_K), "avg_error", "f2", "f2_estimate"
+        stream_report.prefix_report(value_items(s, d), SKETCH, *VALUE_RANGE, TOP_K, share=PREFIX_SHARE), "avg_error", "f2", "f2_estimate"
     ),
     # streaming
     "stream_sketch": stream_sketch,
