@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from countloom.llm import chat_format, decontaminate, exact_dedup, lm, pieces, quality, repeats, simhash, toxicity, warc
+from countloom.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    hard_negatives,
+    line_rules,
+    lm,
+    merkle,
+    pieces,
+    quality,
+    repeats,
+    simhash,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_exact_dedup": exact_dedup.query,
     "op10_lm_score": lm.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_line_rules": line_rules.query,
+    "op13_merkle": merkle.query,
 }
 
 SQL = {
@@ -22,4 +39,7 @@ SQL = {
     "op6_decontaminate": decontaminate.SQL,
     "op8_warc": warc.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_line_rules": line_rules.SQL,
+    "op13_merkle": merkle.SQL,
 }

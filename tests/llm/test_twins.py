@@ -9,12 +9,12 @@ from check import rows
 from conftest import SF_SMALL
 from countloom.llm import queries
 
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 def test_all_are_registered():
     names = set(contract.queries())
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names
     assert set(queries.SQL) <= set(contract.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontamination", "encoding"]
