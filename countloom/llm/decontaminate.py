@@ -38,6 +38,9 @@ CHUNK_BYTES = 2 << 20
 # ASCII letters and digits, lower-cased; any other ASCII parts words; bytes of other characters stay.
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _END = b"\x01"
+# Of the hash that makes a token's words one number of 63 bits.  Tokens that fall together are told apart when words
+# are compared.
+_FACTOR, _KEY_BITS = 0x4F1BBCDCBFA53E0B, (1 << 63) - 1
 
 
 def words_of(text: str) -> list[bytes]:
@@ -70,7 +73,6 @@ class Windows:
             n = min(WINDOW, len(ids))
             for at in range(len(ids) - n + 1 if n else 0):
                 owners.setdefault(tuple(ids[at : at + n]), set()).add(order[name])
-        self.size = len(self.vocabulary)
         self.vocabulary[_END] = -2
         self.windows = sorted(owners)
         self.owners = [sorted(owners[w]) for w in self.windows]
@@ -84,7 +86,7 @@ class Windows:
         for at in range(len(window) - q + 1):
             key = 0
             for word in window[at : at + q]:
-                key = key * self.size + word
+                key = (key * _FACTOR + word) & _KEY_BITS
             out.append(key)
         return out
 
@@ -126,7 +128,7 @@ class Windows:
         at = np.flatnonzero(good)
         key = ids[at]
         for j in range(1, q):
-            key = key * self.size + ids[at + j]
+            key = (key * _FACTOR + ids[at + j]) & _KEY_BITS
         return at, key
 
     def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

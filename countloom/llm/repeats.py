@@ -147,9 +147,10 @@ def _unpack(place: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``(doc, mark, text)``; the id and the mark tell texts apart even where ids repeat or are null."""
-    rows = docs.select("doc_id", text_of().alias("text")).withColumn("_hash", F.xxhash64("text"))
-    return rows.select("doc_id", F.coalesce("doc_id", "_hash").alias("doc"), F.expr("_hash & 131071").alias("mark"), "text")
+    """``(doc, mark, text)``; 64 bits of a hash of id and text and 17 of another, of the text alone, tell texts apart,
+    also where ids repeat or are null.  Rows that repeat both are one."""
+    rows = docs.select("doc_id", text_of().alias("text"))
+    return rows.select("doc_id", F.xxhash64("doc_id", "text").alias("doc"), F.expr("xxhash64(text) & 131071").alias("mark"), "text")
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from countloom.llm import decontaminate as c
@@ -71,3 +72,13 @@ def test_empty_tables_and_dropping(spark, docs, on):  # noqa: F811
     long = " ".join(f"w{i}" for i in range(12))
     kept = c.drop_contaminated(docs([(1, f"see {long} here", "r"), (2, "clean", "s"), (3, None, "t")]), bench(spark, [(1, long)]))
     assert sorted(map(tuple, kept.collect())) == [(2, "clean", "s"), (3, None, "t")]
+
+
+def test_tokens_of_a_large_vocabulary_have_one_key():
+    """Numbers of words beyond the cube root of 64 bits."""
+    words = (2_300_000, 2_299_999, 1, 4_000_000_000, 7)
+    block = c.Windows([("item", "a b c d")])
+    at, key = block.met(np.array(words), 3)
+    assert at.tolist() == [0, 1, 2] and key.tolist() == block._keys(words, 3)
+    at, key = block.met(np.array([5, -1, *words]), 2)
+    assert at.tolist() == [2, 3, 4, 5] and key.tolist() == block._keys(words, 2)

@@ -82,3 +82,12 @@ def test_long_texts_come_in_pieces():
 
 def test_interval_tree():
     assert list(r.intervals([0, 3, 1, 2])) == [(3, 0, 1), (2, 2, 3), (1, 0, 3), (0, 0, 3)]
+
+
+def test_many_texts_under_one_id(spark, docs, on):  # noqa: F811
+    """An id and a few bits of a hash would not tell them apart."""
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = noise(220)
+    rows = [(7, noise(210) + (shared + noise(10) if i % 5 == 0 else "")) for i in range(2500)]
+    assert found(on(r, spark, documents=docs(rows))) == brute(rows)
