@@ -1,13 +1,14 @@
 """Log-probabilities of texts by a two-word model kept in Elias-Fano tries.
 
 Tokens are the lower-cased words of a text and one end.  Single words are counted exactly.  Pairs are held
-by tries, sharded by both words, so that the pairs of a frequent first word are spread over all shards, as no
-shard needs its total.  A trie has these levels in one buffer of 64-bit words:
+by tries, sharded by their first word, but for frequent first words, whose pairs are spread over all shards by the
+second, as no shard needs their total.  Which are frequent is told by a bounded sample; that shapes the shards
+only.  A trie has these levels in one buffer of 64-bit words:
 
 * the contexts (64-bit hashes of first words), rising, in Elias-Fano code, and so the vocabulary of successors;
 * the pointers, rising, to where each context's successors begin;
 * the successors' ranks in the vocabulary, made rising by the context's rank times its size, with an 8-bit code of the pair's probability:
-  its count, that is its probability times the number of tokens, on a scale with steps of 8 %.
+  its count, that is its probability times the number of tokens, on a scale with steps of 12 % up to 10^13.
 
 A pair is looked up by its context, then by successor search relative to the context.  The task of a shard
 writes the buffer to a file and maps it into memory.  With exact counts of words ``c``, a pair of probability code
@@ -36,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from xxhash import xxh64_intdigest
 
-from countloom.llm.common import materialise, table, text_of, with_batches
+from countloom.llm.common import ascii_lower, materialise, table, text_of, with_batches
 from countloom.llm.elias_fano import EliasFano
 from countloom.llm.files import Output, mapped_words
 from countloom.llm.labelled import held_out
@@ -44,6 +45,8 @@ from countloom.workspace import shared_folder
 
 FOLDS, FOLD = 7, 2
 BLOCK_BYTES = 6 << 20
+# Documents and words by which frequent first words are told, and how often a word is met there to be one.
+SAMPLE_DOCS, FREQUENT_WORDS, FREQUENT = 1 << 11, 1 << 16, 8
 # Of pairs in one number, which only callers with small universes use.
 CONTEXT_BITS, SUCCESSOR_BITS = 36, 20
 PRIORS = (1.0, 10.0, 100.0, 1e3, 1e4, 1e5)
@@ -52,10 +55,10 @@ BEGIN, END = b" ", b"\n"
 
 
 def _levels() -> np.ndarray:
-    """What the codes stand for: 0, then exact counts, then steps of 8 %."""
+    """What the codes stand for: 0, then exact counts, then steps of 12 %."""
     levels = [0, 1]
     while len(levels) < 256:
-        levels.append(max(levels[-1] + 1, round(levels[-1] * 1.08)))
+        levels.append(max(levels[-1] + 1, int(levels[-1] * 1.12)))
     return np.array(levels)
 
 
@@ -66,7 +69,8 @@ def quantise(counts: np.ndarray) -> np.ndarray:
     """The nearest code, by ratio."""
     upper = np.clip(np.searchsorted(LEVELS, counts), 1, 255)
     lower = upper - 1
-    nearer = (counts > 0) & (counts * counts < LEVELS[lower].astype(float) * LEVELS[upper])
+    # In doubles: squares of counts leave 64 bits.
+    nearer = (counts > 0) & (counts.astype(float) ** 2 < LEVELS[lower].astype(float) * LEVELS[upper])
     return np.where(counts <= 0, 0, np.where(nearer & (lower > 0), lower, upper)).astype(np.uint8)
 
 
@@ -171,7 +175,8 @@ class Tally:
     pair_cuts: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[str], train: list[bool], shards: int) -> Tally:
+    def of(cls, texts: list[str], train: list[bool], shards: int, frequent: np.ndarray | None = None) -> Tally:
+        """``frequent``: hashes of first words whose pairs are spread over all shards."""
         number: defaultdict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
         number[BEGIN], number[END]
@@ -191,7 +196,10 @@ class Tally:
         numbered, pair = np.unique(before * len(hashes) + word, return_inverse=True)
         contexts, followers = hashes[numbered // len(hashes)], hashes[numbered % len(hashes)]
         word_shard = hashes % np.uint64(shards)
-        pair_shard = (contexts + followers) % np.uint64(shards)
+        spread = np.isin(contexts, hashes[:1])  # of the beginning
+        if frequent is not None:
+            spread |= np.isin(contexts, frequent)
+        pair_shard = np.where(spread, contexts + followers, contexts) % np.uint64(shards)
         edges = np.arange(shards + 1)
         word_order, pair_order = np.lexsort((hashes, word_shard)), np.lexsort((followers, contexts, pair_shard))
         return cls(
@@ -281,8 +289,25 @@ def _opened(bundles: pa.Table) -> pa.Table:
     return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def _tally(docs: pa.Table, shards: int) -> Tally:
-    return Tally.of(docs.column("text").to_pylist(), [not h for h in docs.column("held_out").to_pylist()], shards)
+def _tally(docs: pa.Table, shards: int, frequent: np.ndarray) -> Tally:
+    return Tally.of(docs.column("text").to_pylist(), [not h for h in docs.column("held_out").to_pylist()], shards, frequent)
+
+
+def _frequent(docs: DataFrame, shards: int) -> np.ndarray:
+    """Hashes of the words that make up a good part of a shard, by a sample of documents.
+
+    A word met too seldom there to be told has at most a few of ``SAMPLE_DOCS`` texts' worth of the pairs.
+    """
+    order = F.xxhash64("doc_id", "text")
+    last = docs.select(order.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h").alias("h")).first().h
+    sample = docs.where(order <= F.lit(last)).select(text_of().alias("text"))
+    words = sample.select(F.explode(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word"))
+    counted = materialise(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "lm-sample")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    least = max(FREQUENT, total // (4 * shards))
+    # Bounded by the parameter.
+    top = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).collect()
+    return np.array([xxh64_intdigest(r.word.encode()) for r in top], np.uint64)
 
 
 def _answer(folder: str, runs: pa.Table) -> pa.Table:
@@ -311,12 +336,12 @@ def _answer(folder: str, runs: pa.Table) -> pa.Table:
     return _record(ANSWERS, rows)
 
 
-def _scorer(shards: int, tokens: int, types: int):
+def _scorer(shards: int, frequent: np.ndarray, tokens: int, types: int):
     size = tokens + types + 1
 
     def score(bundles: pa.Table, answers: pa.Table) -> pa.Table:
         docs = _opened(bundles)
-        tally = _tally(docs, shards)
+        tally = _tally(docs, shards, frequent)
         got = {
             s: (unpacked(c, "<u8").astype(np.int64), np.frombuffer(zstandard.decompress(q), np.uint8))
             for s, c, q in zip(*(answers.column(n).to_pylist() for n in ("shard", "counts", "codes")))
@@ -355,9 +380,10 @@ def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES, tries: str | None =
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_of())), F.lit(0)).alias("n")).first().n
     blocks = shards = max(1, -(-size // block_bytes))
+    frequent = _frequent(docs, shards)
 
     def count(key: tuple, bundles: pa.Table) -> pa.Table:
-        return _record(RUNS, list(_tally(_opened(bundles), shards).runs(key[0].as_py())))
+        return _record(RUNS, list(_tally(_opened(bundles), shards, frequent).runs(key[0].as_py())))
 
     runs = _deal(docs, blocks).groupBy("block").applyInArrow(count, RUNS)
     folder = tries or shared_folder(docs.sparkSession, "lm-tries")
@@ -366,7 +392,7 @@ def scored(docs: DataFrame, block_bytes: int = BLOCK_BYTES, tries: str | None =
     tokens, types = sums.tokens or 0, sums.types or 0
     replies = answers.where("block >= 0").select("block", "shard", "counts", "codes")
     together = _deal(docs, blocks).groupBy("block").cogroup(replies.groupBy("block"))
-    rows = materialise(together.applyInArrow(_scorer(shards, tokens, types), SCORED), "lm-scored")
+    rows = materialise(together.applyInArrow(_scorer(shards, frequent, tokens, types), SCORED), "lm-scored")
     fits = rows.agg(*[F.sum(F.col("left_out")[i]).alias(f"m{i}") for i in range(len(PRIORS))]).first()
     best = max(range(len(PRIORS)), key=lambda i: (fits[i] or 0.0, i))
     return rows.select(

@@ -114,8 +114,20 @@ def test_pairs_of_a_hot_word_stay_apart():
     assert len(tally.pair_order) == tally.pair.max() + 1 == 2 * n + 1
 
 
-def test_a_hot_word_is_spread_over_all_shards():
-    tally = lm.Tally.of([" ".join(f"hot w{i}" for i in range(20_000))], [True], 100)
+def test_a_hot_word_is_spread_over_all_shards(spark, docs):  # noqa: F811
+    text = " ".join(f"hot w{i}" for i in range(20_000))
+    frequent = lm._frequent(docs([(1, text)]), 100)
+    tally = lm.Tally.of([text], [True], 100, frequent)
     of_hot = tally.contexts[tally.pair_order] == tally.hashes[2]
     sizes = np.array([of_hot[a:b].sum() for a, b in zip(tally.pair_cuts, tally.pair_cuts[1:])])
     assert sizes.sum() == 20_000 and sizes.min() > 100 and sizes.max() < 400
+    # Other contexts stay together, so that each is sent once.
+    other = lm.Tally.of([text], [True], 100)
+    assert max((other.contexts[other.pair_order] == other.hashes[2])[a:b].sum() for a, b in zip(other.pair_cuts, other.pair_cuts[1:])) == 20_000
+
+
+def test_codes_of_very_large_counts():
+    counts = np.array([0, 1, 12, 10**9, 10**10, 10**12, 2 * 10**12])
+    codes = lm.quantise(counts)
+    assert (np.diff(codes.astype(int)) > 0).all()
+    assert (np.abs(lm.LEVELS[codes[1:]] / counts[1:] - 1) < 0.06).all()
