@@ -17,7 +17,7 @@ from countloom.operators import sketch as sk
 from countloom.operators import triangles as tr
 from countloom.plans import graph_report, stream_report
 from countloom.sources.edges import edges_from_lines, edges_from_table, read_edges, rejected_lines
-from countloom.sources.items import items_from_lines, items_from_table, read_item_stream
+from countloom.sources.items import FileItems, items_from_lines, items_from_table, stream_items
 from countloom.streaming.ledger import BatchLedger
 from countloom.streaming.sketch import SketchTable, start_sketch
 from countloom.workspace import shared_folder
@@ -160,9 +160,7 @@ def stream_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events arrive as files, several micro-batches' worth, at the default trigger, until none is left."""
     folder = shared_folder(spark, "stream-sketch")
     staged_slices(spark, sf_dir, folder)
-    items = read_item_stream(
-        spark, "parquet", schema=ARRIVED, value=VALUE_TEXT, path=f"{folder}/slices", maxFilesPerTrigger=str(FILES_PER_BATCH)
-    )
+    items = stream_items(spark, FileItems(f"{folder}/slices", "parquet", ARRIVED, VALUE_TEXT, FILES_PER_BATCH))
     counters = SketchTable(spark, f"{folder}/counters")
     query = start_sketch(items, SKETCH, *VALUE_RANGE, counters, f"{folder}/checkpoint")
     try:
@@ -181,7 +179,7 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> BatchLedger:
     for i in range(SLICES):
         # Only the slice's own folder is read.
         slices.where(F.col("slice") == i).selectExpr("0 AS slice", "at", "value").write.mode("append").parquet(f"{folder}/arrived")
-        ledger.run(read_item_stream(spark, "parquet", schema=ARRIVED, value=VALUE_TEXT, path=f"{folder}/arrived"), availableNow=True)
+        ledger.run(stream_items(spark, FileItems(f"{folder}/arrived", "parquet", ARRIVED, VALUE_TEXT)), availableNow=True)
         if ledger.reached:
             break
     return ledger

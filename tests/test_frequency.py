@@ -122,3 +122,14 @@ def test_range_filter_reaches_the_scan(spark):
     plan = freq._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(user_id,10)" in plan and "LessThanOrEqual(user_id,100)" in plan
     assert "ReadSchema: struct<user_id:bigint>" in plan
+
+
+def test_prefix_of_tallies_equals_tally_of_prefix(spark):
+    rng = random.Random(11)
+    for size in (0, 1, 300):
+        rows = [(rng.randint(-3, 12), rng.choice([None, *range(9)])) for _ in range(size)]
+        df = spark.createDataFrame(rows, "item BIGINT, batch_id BIGINT")
+        for bound in ({"threshold": 1}, {"threshold": 100}, {"threshold": 10_000}, {"share": 0}, {"share": 455}, {"share": 1000}):
+            want = pairs(fq.tally(fq.stream_prefix(df, **bound), 0, 9))
+            assert sorted(pairs(fq.prefix_tally(fq.batch_tallies(df, 0, 9), **bound)), key=repr) == sorted(want, key=repr)
+

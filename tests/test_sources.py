@@ -7,7 +7,7 @@ from conftest import SF, pairs, scalar
 from countloom.operators.graph import edge_count
 from countloom.operators.triangles import triangles_exact
 from countloom.sources.edges import edges_from_lines, read_edges, rejected_lines
-from countloom.sources.items import items_from_lines, rejected_items
+from countloom.sources.items import FileItems, KafkaItems, SocketItems, items_from_lines, read_items, rejected_items
 from countloom.workspace import shared_folder
 
 
@@ -106,3 +106,49 @@ def test_items(spark, lines):
 def test_shared_folder_is_below_the_checkpoint_folder(spark):
     folder = shared_folder(spark, "job")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir")) and folder != shared_folder(spark, "job")
+
+
+@pytest.mark.parametrize(
+    "arguments",
+    [
+        {"servers": "host", "topic": "t"},
+        {"servers": "host:1 ,b:2", "topic": "t"},
+        {"servers": "host:1", "topic": "no topic"},
+        {"start": {}},
+        {"start": {0: -1}},
+        {"end": {-1: 5}},
+        {"start": {0: 5}, "end": {0: 4}},
+        {"start": {0: 5}, "end": {0: 9, 1: 9}},
+        {"per_batch": 0},
+    ],
+)
+def test_kafka_arguments_are_checked_before_anything_runs(arguments):
+    with pytest.raises(ValueError):
+        KafkaItems(**{"servers": "a:9092,b:9092", "topic": "items"} | arguments)
+
+
+def test_kafka_options():
+    plain = KafkaItems("a:1", "t")
+    common = {"kafka.bootstrap.servers": "a:1", "subscribe": "t", "failOnDataLoss": "true"}
+    assert plain.options(True) == plain.options(False) == common | {"startingOffsets": "earliest"}
+    bounded = KafkaItems("a:1", "t", start={1: 7, 0: 0}, end={0: 5, 1: 7}, per_batch=1000)
+    assert bounded.options(False) == common | {"startingOffsets": '{"t": {"0": 0, "1": 7}}', "endingOffsets": '{"t": {"0": 5, "1": 7}}'}
+    assert bounded.options(True) == common | {"startingOffsets": '{"t": {"0": 0, "1": 7}}', "maxOffsetsPerTrigger": "1000"}
+
+
+def test_messages_from_the_end_on_are_dropped(spark):
+    rows = spark.createDataFrame([(p, o, f"{10 * p + o}") for p in range(3) for o in range(4)], "partition INT, offset LONG, value STRING")
+    cut = KafkaItems("a:1", "t", end={0: 2, 2: 1}).bounded(rows)
+    assert sorted(r.value for r in cut.collect()) == ["0", "1", "20"]
+    assert KafkaItems("a:1", "t").bounded(rows).count() == 12
+
+
+def test_other_sources_are_checked(spark, tmp_path):
+    for wrong in (lambda: SocketItems("", 9), lambda: SocketItems("h", 0), lambda: SocketItems("h", 9).options(False),
+                  lambda: FileItems("p", per_batch=0), lambda: FileItems("p", "parquet")):
+        with pytest.raises(ValueError):
+            wrong()
+    assert SocketItems("h", 9).options(True) == {"host": "h", "port": "9"}
+    assert FileItems("p", per_batch=3).options(True) == {"path": "p", "maxFilesPerTrigger": "3"}
+    (tmp_path / "a.txt").write_text("3\n-4\n")
+    assert pairs(read_items(spark, FileItems(str(tmp_path)))) == [(-4,), (3,)]

@@ -12,6 +12,7 @@ from countloom.plans.stream_report import report, stream_report
 from countloom.sources.items import read_item_stream
 from countloom.streaming.ledger import BatchLedger
 from countloom.streaming.sketch import SketchTable, start_sketch
+from countloom.streaming.store import BatchStore, Folder
 from countloom.workspace import shared_folder
 from test_frequency import skewed
 from test_sketch import as_cells
@@ -152,3 +153,131 @@ def test_the_ledger_needs_no_dense_ids(spark, monkeypatch, tmp_path):
     db.register("events", events.toPandas())
     want = sorted(db.execute(oracle.sql()["stream_until"]).fetchall())
     assert want and pairs(w.run_ledger(spark, "").freq()) == want
+
+
+def test_a_batch_writes_only_the_counters_it_changed(spark):
+    folder = shared_folder(spark, "test")
+    values = [*range(200), 5, 5, 6]
+    arrive(spark, f"{folder}/in", values[:200])
+    table = SketchTable(spark, f"{folder}/counters")
+
+    def run():
+        stream = read_item_stream(spark, path=f"{folder}/in")
+        start_sketch(stream, SKETCH, 0, 300, table, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+
+    run()
+    arrive(spark, f"{folder}/in", values[200:])
+    run()
+    written = {k: spark.read.parquet(table.store.path_of(k)).count() for k in table.store.before}
+    assert written[0] == len(as_cells(table.read())) and 0 < written[1] <= 2 * SKETCH.depth < written[0]
+    df = spark.createDataFrame([(v,) for v in values], "item BIGINT")
+    assert as_cells(table.read()) == as_cells(SKETCH.counters(df))
+    # Another reader, and one after the deltas are folded, see the same.
+    assert as_cells(SketchTable(spark, f"{folder}/counters").read()) == as_cells(table.read())
+    before = as_cells(table.read())
+    table.store.write_snapshot()
+    assert as_cells(SketchTable(spark, f"{folder}/counters").read()) == before
+
+
+def test_the_state_may_be_kept_in_rocksdb(spark):
+    folder = shared_folder(spark, "test")
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        values = skewed(4, 60)
+        table = SketchTable(spark, f"{folder}/counters")
+        for part in (values[:40], values[40:]):
+            arrive(spark, f"{folder}/in", part)
+            stream = read_item_stream(spark, path=f"{folder}/in")
+            start_sketch(stream, SKETCH, 0, 30, table, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    df = spark.createDataFrame([(v,) for v in values], "item BIGINT")
+    assert as_cells(table.read()) == as_cells(SKETCH.counters(fq.in_range(df, 0, 30)))
+
+
+def ledger_of(spark, folder, items, batches, fold_every=3):
+    ledger = BatchLedger(spark, folder, 0, 9, threshold=1000, fold_every=fold_every)
+    for i in batches:
+        ledger.write(items(i % 10, 1, 99), i)
+    return ledger
+
+
+def expected_of(batches):
+    found = {}
+    for i in batches:
+        for item in (i % 10, 1):
+            found[item] = found.get(item, 0) + 1
+    return sorted(found.items())
+
+
+def test_old_batches_are_folded(spark, items):
+    folder = shared_folder(spark, "test")
+    ledger = ledger_of(spark, folder, items, range(8))
+    names = Folder(spark, ledger.store.path).names
+    assert ledger.store.snapshot == 5 and names("snapshots") == ["batch=5"] and names("batches") == ["batch=6", "batch=7"]
+    assert len(names("state")) <= 2
+    for reader in (ledger, BatchLedger(spark, folder, 0, 9, threshold=1000)):
+        assert reader.seen == 24 and scalar(reader.length()) == 24 and pairs(reader.freq()) == expected_of(range(8))
+        assert sorted(r.batch for r in reader.tallies().select("batch").distinct().collect()) == [5, 6, 7]
+    # Replays below the snapshot are ignored, above it they overwrite.
+    again = BatchLedger(spark, folder, 0, 9, threshold=1000, fold_every=3)
+    for i in (2, 5, 6, 7):
+        again.write(items(i % 10, 1, 99), i)
+    assert again.seen == 24 and pairs(again.freq()) == expected_of(range(8))
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at", ["tally", "manifest", "snapshot", "named", "swept"])
+def test_a_crash_at_any_step_counts_every_batch_once(spark, items, monkeypatch, at):
+    """The batch that crashed runs again, as a query that restarts from its checkpoint runs it."""
+    folder = shared_folder(spark, "test")
+    ledger = ledger_of(spark, folder, items, range(2))
+
+    def crash(*_):
+        raise Crash
+
+    store = ledger.store
+    if at == "tally":
+        monkeypatch.setattr(store, "commit", crash)
+    elif at == "manifest":
+        monkeypatch.setattr(store, "write_snapshot", crash)
+    elif at == "snapshot":
+        published = store._publish
+        steps = iter([published, crash])
+        monkeypatch.setattr(store, "_publish", lambda: next(steps)())
+    elif at == "named":
+        monkeypatch.setattr(store, "_sweep", crash)
+    else:
+        removed = store.folder.remove
+        first = iter([removed])
+        monkeypatch.setattr(store.folder, "remove", lambda name: next(first, crash)(name) if name.startswith("batches") else removed(name))
+    with pytest.raises(Crash):
+        ledger.write(items(2, 1, 99), 2)
+    seen_by_others = pairs(BatchLedger(spark, folder, 0, 9, threshold=1000).freq())
+    assert seen_by_others == expected_of(range(2 if at == "tally" else 3))
+    again = ledger_of(spark, folder, items, range(2, 5))
+    assert again.seen == 15 and scalar(again.length()) == 15 and pairs(again.freq()) == expected_of(range(5))
+    names = Folder(spark, again.store.path).names
+    assert names("snapshots") == [f"batch={again.store.snapshot}"] and len(names("batches")) == len(again.store.before)
+
+
+def test_a_restart_reads_one_small_file(spark, items, monkeypatch):
+    folder = shared_folder(spark, "test")
+    ledger_of(spark, folder, items, range(5))
+    opened = []
+    read = Folder.read
+    monkeypatch.setattr(Folder, "read", lambda self, name: opened.append(name) or read(self, name))
+    monkeypatch.setattr(BatchStore, "read", lambda self: pytest.fail("the tallies were read"))
+    ledger = BatchLedger(spark, folder, 0, 9, threshold=1000)
+    assert ledger.seen == 15 and ledger.store.before == {3: 9, 4: 12} and len(opened) == 1
+    with pytest.raises(ValueError):
+        BatchLedger(spark, folder, 0, 9, threshold=5, fold_every=0)
