@@ -130,6 +130,6 @@ def test_prefix_of_tallies_equals_tally_of_prefix(spark):
         rows = [(rng.randint(-3, 12), rng.choice([None, *range(9)])) for _ in range(size)]
         df = spark.createDataFrame(rows, "item BIGINT, batch_id BIGINT")
         for bound in ({"threshold": 1}, {"threshold": 100}, {"threshold": 10_000}, {"share": 0}, {"share": 455}, {"share": 1000}):
-            want = pairs(fq.tally(fq.stream_prefix(df, **bound), 0, 9))
-            assert sorted(pairs(fq.prefix_tally(fq.batch_tallies(df, 0, 9), **bound)), key=repr) == sorted(want, key=repr)
+            want, got = fq.tally(fq.stream_prefix(df, **bound), 0, 9), fq.prefix_tally(fq.batch_tallies(df, 0, 9), **bound)
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
