@@ -38,10 +38,24 @@ def closed(
     ``oriented`` has ``lo`` and ``hi`` as ``orient`` gives them, and the ``group`` column if named.
     With ``owner``, the groups are colour triples, packed into ``group``: each edge goes to every triple with
     its two colours, and the last vertex must have the colour that the other two leave of the triple for
-    the triangle to belong to it.  With ``masked``, ``oriented`` has ``block`` and ``mask`` instead of the group,
-    and an edge belongs to the group ``block * MASK_RUNS + i`` for each bit ``i`` of its mask.
+    the triangle to belong to it; only ids of that colour are sent.  With ``masked``, ``oriented`` has ``block`` and
+    ``mask`` instead of the group, and an edge belongs to the group ``block * MASK_RUNS + i`` for each bit ``i`` of its mask.
     """
     keys = [group] if group else []
+    sent, own = meetings(oriented, group, owner, masked, chunk)
+    apart = "struct(span[2], span[3]) < struct(own_span[0], own_span[1]) OR struct(own_span[2], own_span[3]) < struct(span[0], span[1])"
+    joined = sent.join(own, [*keys, "mid", "piece"]).where(f"span IS NULL OR own_span IS NULL OR NOT ({apart})")
+    # The second argument is the one that gets hashed; on average it is the shorter.
+    common = "array_intersect(ids, candidates)"
+    return joined.selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")
+
+
+def meetings(
+    oriented: DataFrame, group: str | None = None, owner: Colouring | None = None, masked: bool = False, chunk: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the join in ``closed``: what is sent to a vertex, ``([group,] mid, piece, candidates, span)``, and
+    its own list, ``([group,] mid, piece, ids, own_span)``."""
+    keys = [group] if group else []
     own_keys, also = (["block"], ["mask"]) if masked else ([] if owner else keys, [])
     step = chunk or CHUNK
     rows = oriented.selectExpr(*own_keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi", *also).where(
@@ -57,57 +71,64 @@ def closed(
     gathered = ranked.groupBy(*own_keys, "lo", "lo_parts", "chunk", "chunks").agg(
         F.sort_array(F.collect_list(F.struct("hi", *also))).alias("above")
     )
-    if owner:
-        gathered = _per_triple_lists(gathered, group, owner)
-    elif masked:
+    if masked:
         gathered = _per_run_lists(gathered, group)
+    # Lists are replicated to triples behind the exchange over them, so it carries each edge once.
+    list_keys = [] if owner else keys
     # The lists are used three times, and gathering, sorting and the exchange over them are done once as long as
     # all uses are alike to the optimizer: each reads every column, all that a list carries is one array, and
     # rows are left out behind a generator, since a filter would move below the exchange.
     lists = gathered.selectExpr(
-        *keys, "lo", "lo_parts", "chunk", "chunks", "size(above) AS n",
+        *list_keys, "lo", "lo_parts", "chunk", "chunks", "size(above) AS n",
         # Ids; of a list of several chunks, its first and its last rank; pieces, where any vertex has several.
         f"""concat(above.hi.id,
             CASE WHEN chunks > 1 THEN array(above[0].hi.degree, above[0].hi.id, above[size(above) - 1].hi.degree, above[size(above) - 1].hi.id)
                 ELSE {NO_IDS} END,
             CASE WHEN array_max(above.hi.parts) > 1 THEN above.hi.parts ELSE {NO_IDS} END) AS packed""",
-    ).repartition(*keys, "lo", "chunk")
+    ).repartition(*list_keys, "lo", "chunk")
+
+    by_colour = ["by_colour"] if owner else []
 
-    def sends(df: DataFrame, ids: str, span: str) -> DataFrame:
-        """To each ``(at, mid)`` of a chunk ``(n, packed)``, ``ids`` of the chunk of ``span``."""
-        return df.selectExpr(
-            *keys, "lo", "mid",
+    def sends(df: DataFrame, ids: str, span: str, follows: str) -> DataFrame:
+        """To each ``(at, mid)`` of a chunk ``(n, packed)``, ``ids`` of the chunk of ``span``; with ``owner``, to each
+        triple of ``mid`` the ids of its last colour, out of those ``by_colour`` that meet ``follows``."""
+        located = df.selectExpr(
+            *list_keys, "mid",
             "pmod(xxhash64(lo), coalesce(try_element_at(packed, n + at + IF(chunks > 1, 5, 1)), 1L + 0L * lo_parts)) AS piece",
-            f"{ids} AS candidates",
             f"CASE WHEN chunks > 1 THEN {span} END AS span",
+            *(["at", *by_colour, f"{owner.spark('lo')} AS a", f"{owner.spark('mid')} AS m"] if owner else [f"{ids} AS candidates"]),
         )
-
-    columns = [*keys, "lo", "lo_parts", "chunk", "chunks", "n", "packed"]
-    within = lists.selectExpr(*columns, "posexplode_outer(slice(packed, 1, n)) AS (at, mid)").where("at + 1 < n")
+        if not owner:
+            return located
+        dealt = f"filter(transform(by_colour, (ids, y) -> struct(y, filter(ids, w -> {follows}).id AS candidates)), sent -> size(sent.candidates) > 0)"
+        return located.selectExpr("mid", "piece", "span", "a", "m", f"inline({dealt})").selectExpr(
+            "mid", "piece", "span", f"{triple_key(owner, 'a', 'm', 'y')} AS {group}", "candidates"
+        )
+
+    def parted(df: DataFrame, ids: str) -> DataFrame:
+        return df.selectExpr("*", f"{_ids_by_colour(ids, owner)} AS by_colour") if owner else df
+
+    columns = [*list_keys, "lo", "lo_parts", "chunk", "chunks", "n", "packed"]
+    within = parted(lists, "slice(packed, 1, n)").selectExpr(*columns, *by_colour, "posexplode_outer(slice(packed, 1, n)) AS (at, mid)").where("at + 1 < n")
     others = "filter(sequence(0, chunks - 1), y -> y <> chunk)"
     dealt = lists.selectExpr(
         *columns, f"explode_outer(CASE WHEN chunks > 1 THEN transform({others}, y -> struct(least(y, chunk) AS a, greatest(y, chunk) AS b)) END) AS pair"
     ).where("pair IS NOT NULL")
-    met = dealt.groupBy(*keys, "lo", "lo_parts", "chunks", "pair").agg(F.sort_array(F.collect_list(F.struct("chunk", "n", "packed"))).alias("two"))
-    between = met.where("size(two) = 2").selectExpr(
-        *keys, "lo", "lo_parts", "chunks", "two[0].n AS n", "two[0].packed AS packed", "two[1].n AS later_n", "two[1].packed AS later",
+    met = dealt.groupBy(*list_keys, "lo", "lo_parts", "chunks", "pair").agg(F.sort_array(F.collect_list(F.struct("chunk", "n", "packed"))).alias("two"))
+    between = parted(met.where("size(two) = 2"), "slice(two[1].packed, 1, two[1].n)").selectExpr(
+        *list_keys, "lo", "lo_parts", "chunks", "two[0].n AS n", "two[0].packed AS packed", "two[1].n AS later_n", "two[1].packed AS later", *by_colour,
         "posexplode(slice(two[0].packed, 1, two[0].n)) AS (at, mid)",
     )
-    sent = sends(within, "slice(packed, at + 2, n - at - 1)", "slice(packed, n + 1, 4)").unionByName(
-        sends(between, "slice(later, 1, later_n)", "slice(later, later_n + 1, 4)")
+    sent = sends(within, "slice(packed, at + 2, n - at - 1)", "slice(packed, n + 1, 4)", "w.at > at").unionByName(
+        sends(between, "slice(later, 1, later_n)", "slice(later, later_n + 1, 4)", "true")
     )
+    own_ids = _per_triple_lists(parted(lists, "slice(packed, 1, n)"), group, owner) if owner else lists.selectExpr("*", "slice(packed, 1, n) AS ids")
     own = (
-        lists.selectExpr(*keys, "lo AS mid", "n", "packed", "chunks", "explode_outer(sequence(0L, lo_parts - 1)) AS piece")
+        own_ids.selectExpr(*keys, "lo AS mid", "n", "packed", "chunks", "ids", "explode_outer(sequence(0L, lo_parts - 1)) AS piece")
         .where("piece IS NOT NULL")
-        .selectExpr(*keys, "mid", "piece", "slice(packed, 1, n) AS ids", "CASE WHEN chunks > 1 THEN slice(packed, n + 1, 4) END AS own_span")
+        .selectExpr(*keys, "mid", "piece", "ids", "CASE WHEN chunks > 1 THEN slice(packed, n + 1, 4) END AS own_span")
     )
-    apart = "struct(span[2], span[3]) < struct(own_span[0], own_span[1]) OR struct(own_span[2], own_span[3]) < struct(span[0], span[1])"
-    joined = sent.join(own, [*keys, "mid", "piece"]).where(f"span IS NULL OR own_span IS NULL OR NOT ({apart})")
-    # The second argument is the one that gets hashed; on average it is the shorter.
-    common = "array_intersect(ids, candidates)"
-    if owner:
-        common = f"filter({common}, w -> {owner.spark('w')} = {_left_of_triple(group, owner, 'lo', 'mid')})"
-    return joined.selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")
+    return sent, own
 
 
 def _per_run_lists(gathered: DataFrame, group: str) -> DataFrame:
@@ -119,26 +140,23 @@ def _per_run_lists(gathered: DataFrame, group: str) -> DataFrame:
     )
 
 
-def _per_triple_lists(gathered: DataFrame, group: str, colouring: Colouring) -> DataFrame:
-    """Each chunk in parts, one per triple that its edges belong to: for colours ``x <= y`` beside that of ``lo``,
-    the neighbours of either colour.  So edges are gathered once and only lists are replicated."""
+def _ids_by_colour(ids: str, colouring: Colouring) -> str:
+    """An array with one array per colour, of the ``(id, at)`` of that colour among ``ids``."""
     last = colouring.colours - 1
-    coloured = gathered.selectExpr(
-        "*",
-        f"{colouring.spark('lo')} AS a",
-        f"transform(above, h -> struct(h.hi AS hi, {colouring.spark('h.hi.id')} AS colour)) AS coloured",
-    )
-    paired = coloured.selectExpr("*", f"explode(sequence(0L, {last}L)) AS x").selectExpr("*", f"explode(sequence(x, {last}L)) AS y")
-    return paired.selectExpr(
-        f"{triple_key(colouring, 'a', 'x', 'y')} AS {group}", "lo", "lo_parts", "chunk", "chunks",
-        "filter(coloured, h -> h.colour = x OR h.colour = y) AS above",
-    ).where("size(above) > 0")
+    coloured = f"transform({ids}, (w, i) -> struct(w AS id, i AS at, {colouring.spark('w')} AS colour))"
+    # In an array of one, so that no rule of the optimizer hashes the ids anew for each colour.
+    return f"transform(array({coloured}), all -> transform(sequence(0L, {last}L), c -> transform(filter(all, w -> w.colour = c), w -> struct(w.id, w.at))))[0]"
 
 
-def _left_of_triple(key: str, colouring: Colouring, u: str, v: str) -> str:
-    """The colour of a packed triple besides those of two vertices."""
-    c = colouring.colours
-    return f"({key} div {c * c} + {key} div {c} % {c} + {key} % {c} - {colouring.spark(u)} - {colouring.spark(v)})"
+def _per_triple_lists(lists: DataFrame, group: str, colouring: Colouring) -> DataFrame:
+    """Each chunk once per triple that its edges belong to: for colours ``x <= y`` beside that of ``lo``,
+    ``ids``, the neighbours of either colour.  So edges are gathered once and only lists are replicated."""
+    last = colouring.colours - 1
+    ids = "CASE WHEN x = y THEN by_colour[int(x)].id ELSE concat(by_colour[int(x)].id, by_colour[int(y)].id) END"
+    triples = f"""flatten(transform(sequence(0L, {last}L), x -> transform(sequence(x, {last}L),
+        y -> struct({triple_key(colouring, 'a', 'x', 'y')} AS {group}, {ids} AS ids))))"""
+    coloured = lists.selectExpr("*", f"{colouring.spark('lo')} AS a")
+    return coloured.selectExpr("*", f"inline_outer(filter({triples}, t -> size(t.ids) > 0))")
 
 
 def _sum(column: str) -> str:

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF, SF_SMALL, pairs, scalar
 from countloom import workloads as w
@@ -283,3 +284,20 @@ def test_the_table_is_scanned_once_and_lists_are_gathered_once(spark, name):
     """The uses of the edges, and of the lists, are alike to the optimizer, so each is computed for one only."""
     plan = executed(w.QUERIES[name](spark, SF_SMALL))
     assert plan.count("FileScan") == 1 and plan.count("Window [row_number()") == 1 and "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("chunk", [2, 4096])
+def test_a_wedge_is_sent_to_one_triple(edges, chunk):
+    """Own lists are replicated to all triples of an edge; what is sent to them is of the last colour only."""
+    colouring = Colouring.seeded(3, 2)
+    oriented = gr.orient(gr.simplify(edges(*random_graph(7)))).persist()
+    lists = [r.n for r in oriented.groupBy("lo").agg(F.count("hi").alias("n")).collect()]
+    sent, own = (df.collect() for df in tr.meetings(oriented, "k", colouring, chunk=chunk))
+    assert sum(len(r.candidates) for r in sent) == sum(n * (n - 1) // 2 for n in lists)
+    assert sum(len(r.ids) for r in own) == 3 * sum(lists)
+    for r in sent:
+        (last,) = {colouring.value(w) for w in r.candidates}
+        triple = [r.k // 9, r.k // 3 % 3, r.k % 3]
+        triple.remove(colouring.value(r.mid))
+        assert last in triple
+    oriented.unpersist()
