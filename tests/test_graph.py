@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -301,3 +302,12 @@ def test_a_wedge_is_sent_to_one_triple(edges, chunk):
         triple.remove(colouring.value(r.mid))
         assert last in triple
     oriented.unpersist()
+
+
+@pytest.mark.parametrize("name", ["triangles_colour_triple", "triangles_per_triple"])
+def test_lists_are_replicated_behind_their_exchange(spark, name):
+    df = w.QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt_by = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\w+)#.*REPARTITION_BY_COL", plan)
+    assert set(dealt_by) == {("lo", "chunk")}
