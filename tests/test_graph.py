@@ -304,7 +304,7 @@ def test_a_wedge_is_sent_to_one_triple(edges, chunk):
     oriented.unpersist()
 
 
-@pytest.mark.parametrize("name", ["triangles_colour_triple", "triangles_per_triple"])
+@pytest.mark.parametrize("name", ["triangles_colour_triple", "triangles_per_triple", "triangle_report_exact"])
 def test_lists_are_replicated_behind_their_exchange(spark, name):
     df = w.QUERIES[name](spark, SF_SMALL)
     df.collect()
