@@ -4,7 +4,8 @@ Every count goes through ``closed``.  For an edge ``lo -> mid`` of the oriented
 that have ``lo`` as lowest and ``mid`` as middle vertex are the neighbours above ``mid`` that both
 have in common.  So each vertex sends to each of its neighbours the part of its sorted neighbour list
 that follows it, and the two lists meet in one join and are intersected there.  A wedge is eight
-bytes of such a list and never a row, and one exchange carries them all.
+bytes of such a list and never a row, and one exchange carries them all.  A list takes part as the receiver
+only where some edge comes in.  Sent by colour triple, lists are short and many, and hold distances from ``mid``.
 
 No row holds more than a chunk of a list.  A list is ranked by a window, which spills, and gathered in chunks
 of ``CHUNK`` ids.  A chunk sends its later ids to its earlier ones; two chunks of one list meet by their
@@ -43,22 +44,44 @@ def closed(
     """
     keys = [group] if group else []
     sent, own = meetings(oriented, group, owner, masked, chunk)
+    own = own.where("met")
     apart = "struct(span[2], span[3]) < struct(own_span[0], own_span[1]) OR struct(own_span[2], own_span[3]) < struct(span[0], span[1])"
-    joined = sent.join(own, [*keys, "mid", "piece"]).where(f"span IS NULL OR own_span IS NULL OR NOT ({apart})")
     # The second argument is the one that gets hashed; on average it is the shorter.
-    common = "array_intersect(ids, candidates)"
-    return joined.selectExpr(*keys, f"CAST(size({common}) AS BIGINT) AS triangles")
+    common = "size(array_intersect(ids, candidates))"
+    if owner:
+        sent, own = _by_distance(sent, "candidates", keys, "span"), _by_distance(own, "ids", keys, "own_span")
+        common = " + ".join(f"coalesce(array_size(array_intersect(ids_{kind}, candidates_{kind})), 0)" for kind in ("near", "far", "whole"))
+    joined = sent.join(own, [*keys, "mid", "piece"]).where(f"span IS NULL OR own_span IS NULL OR NOT ({apart})")
+    return joined.selectExpr(*keys, f"CAST({common} AS BIGINT) AS triangles")
+
+
+def _by_distance(lists: DataFrame, ids: str, keys: list[str], span: str) -> DataFrame:
+    """Rows of ``meetings`` with the array ``ids`` in up to three: ``ids_near`` and ``ids_far`` hold distances from ``mid`` that
+    fit 16 and 32 bits, ``ids_whole`` the ids that are further away.  An id is kept alike on both sides of a meeting,
+    so arrays of one kind meet as they are.  An empty one is null."""
+    away = lists.selectExpr("*", f"transform({ids}, x -> try_subtract(x, mid)) AS away")
+    near = away.selectExpr("*", "filter(away, x -> x BETWEEN -32768 AND 32767) AS near")
+    split = near.selectExpr(
+        "*",
+        "CASE WHEN size(near) < size(away) THEN filter(away, x -> x NOT BETWEEN -32768 AND 32767 AND x BETWEEN -2147483648 AND 2147483647) END AS far",
+        f"CASE WHEN size(near) < size(away) THEN filter({ids}, (x, i) -> coalesce(away[i] NOT BETWEEN -2147483648 AND 2147483647, true)) END AS whole",
+    )
+    # What is the same in most rows stands together, where it takes next to nothing once compressed.
+    return split.selectExpr(
+        "piece", span, f"CASE WHEN size(whole) > 0 THEN whole END AS {ids}_whole", f"CASE WHEN size(far) > 0 THEN CAST(far AS ARRAY<INT>) END AS {ids}_far",
+        *keys, "mid", f"CASE WHEN size(near) > 0 THEN CAST(near AS ARRAY<SMALLINT>) END AS {ids}_near",
+    )
 
 
 def meetings(
     oriented: DataFrame, group: str | None = None, owner: Colouring | None = None, masked: bool = False, chunk: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The two sides of the join in ``closed``: what is sent to a vertex, ``([group,] mid, piece, candidates, span)``, and
-    its own list, ``([group,] mid, piece, ids, own_span)``."""
+    its own list, ``([group,] mid, piece, ids, own_span, met)``, ``met`` being false where nothing is sent to it."""
     keys = [group] if group else []
     own_keys, also = (["block"], ["mask"]) if masked else ([] if owner else keys, [])
     step = chunk or CHUNK
-    rows = oriented.selectExpr(*own_keys, "lo.id AS lo", "lo.parts AS lo_parts", "hi", *also).where(
+    rows = oriented.selectExpr(*own_keys, "lo.id AS lo", "lo.parts AS lo_parts", "lo.degree AS degree", "hi", *also).where(
         " AND ".join(f"{key} IS NOT NULL" for key in (*own_keys, "lo", "lo_parts"))
     )
     ranks = Window.partitionBy(*own_keys, "lo").orderBy("hi")
@@ -67,7 +90,10 @@ def meetings(
         "*",
         ((F.row_number().over(ranks) - 1) / step).cast("int").alias("chunk"),
         F.ceil(F.count(F.lit(1)).over(whole) / step).cast("int").alias("chunks"),
+        (F.count(F.lit(1)).over(whole) < F.col("degree")).alias("met"),
     )
+    # A vertex all of whose edges go out is sent nothing: its parts are kept as a negative number.
+    ranked = ranked.withColumn("lo_parts", F.expr("CASE WHEN met THEN lo_parts ELSE -lo_parts END"))
     gathered = ranked.groupBy(*own_keys, "lo", "lo_parts", "chunk", "chunks").agg(
         F.sort_array(F.collect_list(F.struct("hi", *also))).alias("above")
     )
@@ -123,10 +149,12 @@ def meetings(
         sends(between, "slice(later, 1, later_n)", "slice(later, later_n + 1, 4)", "true")
     )
     own_ids = _per_triple_lists(parted(lists, "slice(packed, 1, n)"), group, owner) if owner else lists.selectExpr("*", "slice(packed, 1, n) AS ids")
+    # By the generator, like all by which rows are left out.
+    pieces = "transform(sequence(0L, abs(lo_parts) - 1), p -> struct(p AS piece, lo_parts > 0 AS met))"
     own = (
-        own_ids.selectExpr(*keys, "lo AS mid", "n", "packed", "chunks", "ids", "explode_outer(sequence(0L, lo_parts - 1)) AS piece")
+        own_ids.selectExpr(*keys, "lo AS mid", "n", "packed", "chunks", "ids", f"inline_outer({pieces})")
         .where("piece IS NOT NULL")
-        .selectExpr(*keys, "mid", "piece", "ids", "CASE WHEN chunks > 1 THEN slice(packed, n + 1, 4) END AS own_span")
+        .selectExpr(*keys, "mid", "piece", "ids", "CASE WHEN chunks > 1 THEN slice(packed, n + 1, 4) END AS own_span", "met")
     )
     return sent, own
 

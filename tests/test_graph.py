@@ -311,3 +311,39 @@ def test_lists_are_replicated_behind_their_exchange(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     dealt_by = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\w+)#.*REPARTITION_BY_COL", plan)
     assert set(dealt_by) == {("lo", "chunk")}
+
+
+def test_a_list_that_nothing_is_sent_to_is_told_apart(edges):
+    """Only vertices with an edge coming in take part as the middle of a triangle."""
+    oriented = gr.orient(gr.simplify(edges(*random_graph(7), (50, 60), (50, 61)))).persist()
+    entered = {r.id for r in oriented.select("hi.id").collect()}
+    for group, colouring, chunk in ((None, None, 4096), ("k", Colouring.seeded(3, 2), 4096), ("k", Colouring.seeded(3, 2), 2)):
+        sent, own = (df.collect() for df in tr.meetings(oriented, group, colouring, chunk=chunk))
+        assert {r.mid for r in own if r.met} == entered & {r.mid for r in own}
+        assert {r.mid for r in sent} <= entered and {r.mid for r in own} - entered
+    oriented.unpersist()
+
+
+FAR_APART = [-(1 << 63), -(1 << 63) + 5, -(1 << 40), -40_000, -3, 0, 7, 32_767, 32_768, 70_000, (1 << 31) - 1, 1 << 31, 5_000_000_000, (1 << 63) - 1]
+
+
+def test_ids_are_kept_by_their_distance(spark):
+    rows = [(0, mid, None, FAR_APART) for mid in FAR_APART]
+    meeting = spark.createDataFrame(rows, "piece BIGINT, mid BIGINT, span ARRAY<BIGINT>, ids ARRAY<BIGINT>")
+    for r in tr._by_distance(meeting, "ids", [], "span").collect():
+        near, far, whole = r.ids_near or [], r.ids_far or [], r.ids_whole or []
+        assert sorted([x + r.mid for x in near + far] + whole) == FAR_APART
+        assert all(-(1 << 15) <= x < 1 << 15 for x in near) and all(-(1 << 31) <= x < 1 << 31 for x in far)
+        assert not any(-(1 << 15) <= x < 1 << 15 for x in far) and not any(-(1 << 31) <= x - r.mid < 1 << 31 for x in whole)
+
+
+@pytest.mark.parametrize("chunk", [3, 4096])
+def test_triples_of_ids_far_apart(edges, monkeypatch, chunk):
+    monkeypatch.setattr(tr, "CHUNK", chunk)
+    graph = list(itertools.combinations(FAR_APART, 2)) + [(x, 11) for x in FAR_APART[::3]]
+    triangles = brute_force(graph)
+    colouring = Colouring.seeded(3, 2)
+    per_triple = tr.triangles_per_triple(edges(*graph), colouring, 4).collect()
+    assert sum(r.triangles for r in per_triple) == len(triangles)
+    (row,) = triangle_report(edges(*graph), "far", colours=2, runs=1, exact=1).collect()
+    assert row.triangles == len(triangles)
