@@ -347,3 +347,12 @@ def test_triples_of_ids_far_apart(edges, monkeypatch, chunk):
     assert sum(r.triangles for r in per_triple) == len(triangles)
     (row,) = triangle_report(edges(*graph), "far", colours=2, runs=1, exact=1).collect()
     assert row.triangles == len(triangles)
+
+
+@pytest.mark.parametrize("name", ["triangle_report_exact", "triangles_per_triple"])
+def test_distances_are_exchanged_by_triple(spark, name):
+    df = w.QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    by_triple = re.findall(r"Exchange hashpartitioning\(k#\w+L?, mid#\w+L?, piece#[^\n]*\n[^\n]*Project \[([^\n]*)", plan)
+    assert by_triple and all("_near#" in row and not re.search(r"\b(ids|candidates)#\w+\b(?! AS)(,|\])", row) for row in by_triple)
