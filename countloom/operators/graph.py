@@ -64,7 +64,7 @@ def degree_pieces(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     return capped.selectExpr("vertex", "degree", "ceil(degree / cap) AS parts")
 
 
-def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS, settled: bool = False) -> DataFrame:
     """Point every edge from its lower to its higher end by ``(degree, id)``.
 
     Returns ``(lo, hi)``, structs ``(degree, id, parts)``.  No vertex has more than ``sqrt(2 * edges)``
@@ -72,6 +72,10 @@ def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
 
     Both look-ups of a degree join on ``(vertex, piece)``: the edges of a heavy vertex are spread over
     its pieces by their other end, and its degree is repeated once per piece.
+
+    With ``settled``, the plan is the same whatever sizes are met while it runs, so that a scalar subquery over what
+    comes of it reads the exchanges of the query itself: look-ups are never broadcast, and what is broadcast to
+    them is never empty, for then the join would be left out.
     """
     # Implied by the look-ups for the edges only; said here, it holds for their degrees as well, and the
     # exchange under both is computed once.
@@ -81,6 +85,9 @@ def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
         "vertex", "explode(sequence(0L, parts - 1)) AS piece", "named_struct('degree', degree, 'id', vertex, 'parts', parts) AS end"
     )
     heavy = pieces.where("parts > 1")
+    if settled:
+        # A vertex of one piece is located alike whether it is among these or not.
+        heavy = pieces.where((F.col("parts") > 1) | (F.col("vertex") == pieces.agg(F.min("vertex")).scalar()))
 
     def look_up(edges: DataFrame, vertex: str, other: str, name: str) -> DataFrame:
         split = F.broadcast(heavy.selectExpr(f"vertex AS {vertex}", "parts"))
@@ -88,6 +95,7 @@ def orient(simple: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
             "piece", F.expr(f"coalesce(pmod(xxhash64({other}), parts), 0L)")
         )
         ends = spread.selectExpr(f"vertex AS {vertex}", "piece", f"end AS {name}")
+        ends = ends.hint("merge") if settled else ends
         return located.drop("parts").join(ends, [vertex, "piece"]).drop("piece")
 
     both = look_up(look_up(simple, "u", "v", "a"), "v", "u", "b")

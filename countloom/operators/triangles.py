@@ -5,7 +5,8 @@ that have ``lo`` as lowest and ``mid`` as middle vertex are the neighbours above
 have in common.  So each vertex sends to each of its neighbours the part of its sorted neighbour list
 that follows it, and the two lists meet in one join and are intersected there.  A wedge is eight
 bytes of such a list and never a row, and one exchange carries them all.  A list takes part as the receiver
-only where some edge comes in.  Sent by colour triple, lists are short and many, and hold distances from ``mid``.
+only where some edge comes in.  Sent by colour triple, lists are short and many, and hold distances from ``mid``; and
+ids that a bitmap of all edges (``edge_bits``) tells to be no neighbours of ``mid`` are left out of them.
 
 No row holds more than a chunk of a list.  A list is ranked by a window, which spills, and gathered in chunks
 of ``CHUNK`` ids.  A chunk sends its later ids to its earlier ones; two chunks of one list meet by their
@@ -19,7 +20,7 @@ being repeated for each.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from countloom.functions.hashing import Colouring, EdgePartitioning, indexed_hash
 from countloom.operators.graph import PIECE_ROWS, canonical, mono_edges, orient, orient_by_cells, simplify, triple_key
@@ -28,6 +29,12 @@ from countloom.operators.graph import PIECE_ROWS, canonical, mono_edges, orient,
 CHUNK = 4096
 # Runs that share a mask, one bit each.
 MASK_RUNS = 64
+# Of ``edge_bits``: bits for each edge, bits and words of a page (as ``bitmap_construct_agg`` has them), and pages at most, which
+# are 32 MB.
+EDGE_BITS = 32
+PAGE_BITS = 1 << 15
+PAGE_WORDS = PAGE_BITS // 64
+MOST_PAGES = 1 << 13
 NO_IDS = "CAST(array() AS ARRAY<BIGINT>)"
 
 
@@ -43,7 +50,7 @@ def closed(
     ``mask`` instead of the group, and an edge belongs to the group ``block * MASK_RUNS + i`` for each bit ``i`` of its mask.
     """
     keys = [group] if group else []
-    sent, own = meetings(oriented, group, owner, masked, chunk)
+    sent, own = meetings(oriented, group, owner, masked, chunk, closing=bool(owner))
     own = own.where("met")
     apart = "struct(span[2], span[3]) < struct(own_span[0], own_span[1]) OR struct(own_span[2], own_span[3]) < struct(span[0], span[1])"
     # The second argument is the one that gets hashed; on average it is the shorter.
@@ -51,7 +58,10 @@ def closed(
     if owner:
         sent, own = _by_distance(sent, "candidates", keys, "span"), _by_distance(own, "ids", keys, "own_span")
         common = " + ".join(f"coalesce(array_size(array_intersect(ids_{kind}, candidates_{kind})), 0)" for kind in ("near", "far", "whole"))
-    joined = sent.join(own, [*keys, "mid", "piece"]).where(f"span IS NULL OR own_span IS NULL OR NOT ({apart})")
+    # Either way it is ``sent`` that is streamed and ``own`` that is kept per key.  With ``owner`` lists come first, so that the
+    # exchange over them is planned before the bitmap that is made of them; who is sent to without a list closes none.
+    joined = own.join(sent, [*keys, "mid", "piece"], "right") if owner else sent.join(own, [*keys, "mid", "piece"])
+    joined = joined.where(f"span IS NULL OR own_span IS NULL OR NOT ({apart})")
     return joined.selectExpr(*keys, f"CAST({common} AS BIGINT) AS triangles")
 
 
@@ -73,11 +83,38 @@ def _by_distance(lists: DataFrame, ids: str, keys: list[str], span: str) -> Data
     )
 
 
+def edge_bits(lists: DataFrame) -> tuple[Column, Column]:
+    """``words`` and ``pages``, a bitmap of hashed edges and its size: edges of all ``lists`` that something is sent to.
+
+    It has ``EDGE_BITS`` for each such edge, so about one pair in 32 that is no edge finds its bit set; above ``MOST_PAGES``
+    pages it grows no more, and holds back fewer.  Every column of ``lists`` is read, and no row filtered (see ``meetings``).
+    """
+    edges = lists.selectExpr(
+        "lo", "posexplode_outer(CASE WHEN lo_parts > 0 AND chunk < chunks THEN slice(packed, 1, n) END) AS (at, w)"
+    ).selectExpr("CASE WHEN at >= 0 THEN xxhash64(lo) ^ xxhash64(w) END AS h")
+    needed = f"{EDGE_BITS} * count_if(h <> 0) div {PAGE_BITS} + 1"
+    pages = edges.selectExpr(f"least({MOST_PAGES}L, shiftleft(1L, CAST(ceil(log2({needed})) AS INT))) AS pages").scalar()
+    bits = edges.select("h", pages.alias("pages")).selectExpr(f"shiftright(h & ({PAGE_BITS} * pages - 1), 15) AS page", f"h & {PAGE_BITS - 1} AS bit")
+    # Pages without an edge have a row of zeros, so that a page is found by its position.
+    every = lists.sparkSession.range(0, MOST_PAGES, 1, 1).where(F.col("id") < pages).selectExpr("id AS page", "CAST(NULL AS BIGINT) AS bit")
+    maps = bits.where("page IS NOT NULL").unionByName(every).groupBy("page").agg(F.bitmap_construct_agg("bit").alias("map"))
+    words = f"transform(sequence(0, {PAGE_WORDS - 1}), i -> CAST(conv(hex(substring(map, 8 * i + 1, 8)), 16, -10) AS BIGINT))"
+    paged = maps.selectExpr("page", f"{words} AS words").groupBy().agg(F.sort_array(F.collect_list(F.struct("page", "words"))).alias("all"))
+    return paged.selectExpr("flatten(all.words) AS words").scalar(), pages
+
+
+def _has_bit(words: str, last: str, h: str) -> str:
+    """Whether ``edge_bits`` with the ``last`` bit has that of the hash ``h``; a word has the low bits of its first byte highest.
+    ``words`` is named once, or else the optimizer keeps a copy of the bitmap in every row."""
+    return f"getbit({words}[CAST(shiftright({h} & {last}, 6) AS INT)], CAST(({h} & 63) ^ 56 AS INT)) = 1"
+
+
 def meetings(
-    oriented: DataFrame, group: str | None = None, owner: Colouring | None = None, masked: bool = False, chunk: int | None = None
+    oriented: DataFrame, group: str | None = None, owner: Colouring | None = None, masked: bool = False, chunk: int | None = None, closing: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """The two sides of the join in ``closed``: what is sent to a vertex, ``([group,] mid, piece, candidates, span)``, and
-    its own list, ``([group,] mid, piece, ids, own_span, met)``, ``met`` being false where nothing is sent to it."""
+    its own list, ``([group,] mid, piece, ids, own_span, met)``, ``met`` being false where nothing is sent to it.
+    With ``closing``, which goes with ``owner``, ids that ``edge_bits`` tells to be no neighbours of ``mid`` are not sent."""
     keys = [group] if group else []
     own_keys, also = (["block"], ["mask"]) if masked else ([] if owner else keys, [])
     step = chunk or CHUNK
@@ -114,6 +151,7 @@ def meetings(
     ).repartition(*list_keys, "lo", "chunk")
 
     by_colour = ["by_colour"] if owner else []
+    words, pages = edge_bits(lists) if closing else (None, None)
 
     def sends(df: DataFrame, ids: str, span: str, follows: str) -> DataFrame:
         """To each ``(at, mid)`` of a chunk ``(n, packed)``, ``ids`` of the chunk of ``span``; with ``owner``, to each
@@ -122,20 +160,32 @@ def meetings(
             *list_keys, "mid",
             "pmod(xxhash64(lo), coalesce(try_element_at(packed, n + at + IF(chunks > 1, 5, 1)), 1L + 0L * lo_parts)) AS piece",
             f"CASE WHEN chunks > 1 THEN {span} END AS span",
-            *(["at", *by_colour, f"{owner.spark('lo')} AS a", f"{owner.spark('mid')} AS m"] if owner else [f"{ids} AS candidates"]),
+            *(["at", "mid_hash", *by_colour, f"{owner.spark('lo')} AS a", f"{owner.spark('mid')} AS m"] if owner else [f"{ids} AS candidates"]),
         )
         if not owner:
             return located
+        if closing:
+            # The optimizer puts the bitmap into the expression that uses it, so it is part of no row.
+            located = located.select("*", (pages * PAGE_BITS - 1).alias("last"), words.alias("known"))
+            follows = f"{follows} AND {_has_bit('known', 'last', '(mid_hash ^ w.hash)')}"
         dealt = f"filter(transform(by_colour, (ids, y) -> struct(y, filter(ids, w -> {follows}).id AS candidates)), sent -> size(sent.candidates) > 0)"
-        return located.selectExpr("mid", "piece", "span", "a", "m", f"inline({dealt})").selectExpr(
-            "mid", "piece", "span", f"{triple_key(owner, 'a', 'm', 'y')} AS {group}", "candidates"
-        )
+        # The plain ``inline`` would imply a filter, for which all is dealt a second time.
+        rows = located.selectExpr("mid", "piece", "span", "a", "m", f"{dealt} AS dealt").selectExpr("mid", "piece", "span", "a", "m", "inline_outer(dealt)")
+        return rows.where("y IS NOT NULL").selectExpr("mid", "piece", "span", f"{triple_key(owner, 'a', 'm', 'y')} AS {group}", "candidates")
 
     def parted(df: DataFrame, ids: str) -> DataFrame:
         return df.selectExpr("*", f"{_ids_by_colour(ids, owner)} AS by_colour") if owner else df
 
+    def mids(ids: str, outer: str = "") -> list[str]:
+        """A row for each vertex that a chunk is sent to; with ``owner``, its hash comes out of the generator, so that the
+        projection in ``sends`` has nothing of its own that would keep the bitmap from going on into the expression."""
+        if not owner:
+            return [f"posexplode{outer}({ids}) AS (at, mid)"]
+        return [f"posexplode{outer}(transform({ids}, x -> struct(x AS id, xxhash64(x) AS hash))) AS (at, to)"]
+
+    told = ["*", "to.id AS mid", "to.hash AS mid_hash"] if owner else ["*"]
     columns = [*list_keys, "lo", "lo_parts", "chunk", "chunks", "n", "packed"]
-    within = parted(lists, "slice(packed, 1, n)").selectExpr(*columns, *by_colour, "posexplode_outer(slice(packed, 1, n)) AS (at, mid)").where("at + 1 < n")
+    within = parted(lists, "slice(packed, 1, n)").selectExpr(*columns, *by_colour, *mids("slice(packed, 1, n)", "_outer")).where("at + 1 < n").selectExpr(*told)
     others = "filter(sequence(0, chunks - 1), y -> y <> chunk)"
     dealt = lists.selectExpr(
         *columns, f"explode_outer(CASE WHEN chunks > 1 THEN transform({others}, y -> struct(least(y, chunk) AS a, greatest(y, chunk) AS b)) END) AS pair"
@@ -143,8 +193,8 @@ def meetings(
     met = dealt.groupBy(*list_keys, "lo", "lo_parts", "chunks", "pair").agg(F.sort_array(F.collect_list(F.struct("chunk", "n", "packed"))).alias("two"))
     between = parted(met.where("size(two) = 2"), "slice(two[1].packed, 1, two[1].n)").selectExpr(
         *list_keys, "lo", "lo_parts", "chunks", "two[0].n AS n", "two[0].packed AS packed", "two[1].n AS later_n", "two[1].packed AS later", *by_colour,
-        "posexplode(slice(two[0].packed, 1, two[0].n)) AS (at, mid)",
-    )
+        *mids("slice(two[0].packed, 1, two[0].n)"),
+    ).selectExpr(*told)
     sent = sends(within, "slice(packed, at + 2, n - at - 1)", "slice(packed, n + 1, 4)", "w.at > at").unionByName(
         sends(between, "slice(later, 1, later_n)", "slice(later, later_n + 1, 4)", "true")
     )
@@ -169,11 +219,11 @@ def _per_run_lists(gathered: DataFrame, group: str) -> DataFrame:
 
 
 def _ids_by_colour(ids: str, colouring: Colouring) -> str:
-    """An array with one array per colour, of the ``(id, at)`` of that colour among ``ids``."""
+    """An array with one array per colour, of the ``(id, at, hash)`` of that colour among ``ids``."""
     last = colouring.colours - 1
-    coloured = f"transform({ids}, (w, i) -> struct(w AS id, i AS at, {colouring.spark('w')} AS colour))"
+    coloured = f"transform({ids}, (w, i) -> struct(w AS id, i AS at, xxhash64(w) AS hash, {colouring.spark('w')} AS colour))"
     # In an array of one, so that no rule of the optimizer hashes the ids anew for each colour.
-    return f"transform(array({coloured}), all -> transform(sequence(0L, {last}L), c -> transform(filter(all, w -> w.colour = c), w -> struct(w.id, w.at))))[0]"
+    return f"transform(array({coloured}), all -> transform(sequence(0L, {last}L), c -> transform(filter(all, w -> w.colour = c), w -> struct(w.id, w.at, w.hash))))[0]"
 
 
 def _per_triple_lists(lists: DataFrame, group: str, colouring: Colouring) -> DataFrame:
@@ -214,7 +264,7 @@ def triangles_per_triple(edges: DataFrame, colouring: Colouring, piece_rows: int
     ``colours`` keys, and a vertex has about two in ``colours`` of its edges in any of them.
     """
     c = colouring.colours
-    counts = closed(orient(simplify(edges), piece_rows), "k", colouring).groupBy("k").agg(
+    counts = closed(orient(simplify(edges), piece_rows, settled=True), "k", colouring).groupBy("k").agg(
         F.sum("triangles").alias("triangles")
     )
     return counts.where("triangles > 0").selectExpr(
@@ -226,7 +276,7 @@ def triangles_colour_triple(
     edges: DataFrame, colouring: Colouring, piece_rows: int = PIECE_ROWS, is_simple: bool = False
 ) -> DataFrame:
     """One row: the exact count, by replication to colour triples."""
-    counts = closed(orient(_simple(edges, is_simple), piece_rows), "k", colouring)
+    counts = closed(orient(_simple(edges, is_simple), piece_rows, settled=True), "k", colouring)
     return counts.selectExpr(f"{_sum('triangles')} AS triangles")
 
 

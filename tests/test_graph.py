@@ -356,3 +356,40 @@ def test_distances_are_exchanged_by_triple(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     by_triple = re.findall(r"Exchange hashpartitioning\(k#\w+L?, mid#\w+L?, piece#[^\n]*\n[^\n]*Project \[([^\n]*)", plan)
     assert by_triple and all("_near#" in row and not re.search(r"\b(ids|candidates)#\w+\b(?! AS)(,|\])", row) for row in by_triple)
+
+
+FEW_CLOSE = [(x, y) for x in range(100, 130) for y in range(12)] + [(0, 1), (1, 2), (0, 2), (5, 9), (-7, 100)]
+
+
+@pytest.mark.parametrize("chunk", [2, 4096])
+def test_ids_that_close_no_triangle_are_not_sent(edges, chunk):
+    """Of the many pairs of neighbours only those with an edge are sent, besides some that share a bit with one."""
+    oriented = gr.orient(gr.simplify(edges(*FEW_CLOSE)), settled=True).persist()
+    pairs_met = {(r.lo.id, r.hi.id) for r in oriented.collect()}
+    colouring = Colouring.seeded(3, 2)
+    every, closing = (
+        [(r.mid, w) for r in tr.meetings(oriented, "k", colouring, chunk=chunk, closing=c)[0].collect() for w in r.candidates] for c in (False, True)
+    )
+    wanted = sorted(pair for pair in every if pair in pairs_met)
+    assert len(wanted) == len(brute_force(FEW_CLOSE)) and len(every) > 10 * len(wanted)
+    assert sorted(pair for pair in closing if pair in pairs_met) == wanted
+    assert len(closing) < 2 * len(wanted)
+    oriented.unpersist()
+
+
+@pytest.mark.parametrize("edge_bits", [0, 32])
+def test_a_bitmap_of_any_size_gives_the_exact_number(edges, monkeypatch, edge_bits):
+    """One page for more edges than it has bits, and several pages."""
+    monkeypatch.setattr(tr, "EDGE_BITS", edge_bits)
+    graph = complete(90) + FEW_CLOSE
+    (row,) = triangle_report(edges(*graph), "many", colours=3, runs=1, exact=1).collect()
+    assert row.triangles == len(brute_force(graph))
+
+
+@pytest.mark.parametrize("name", ["triangles_colour_triple", "triangles_per_triple"])
+def test_the_bitmap_is_part_of_no_row(spark, name):
+    """It stands in the expression that uses it; as a column it would be copied for every row."""
+    df = w.QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "known#" not in plan and "bitmap_construct_agg" in plan
